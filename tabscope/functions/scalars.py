@@ -57,7 +57,7 @@ def encode_label_tolerant(label: Column, numeric: bool) -> Column:
 
 def encode_label_strict(label: Column, mapping: dict[str, int]) -> Column:
     """Code from ``mapping``; a label outside it becomes null."""
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]).getItem(label)
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])[label]
 
 
 def finite(value: Column, largest: float = LARGEST_DOUBLE) -> Column:

@@ -74,7 +74,7 @@ def quality_report(original: DataFrame, sample: DataFrame, targets: Sequence[str
     overall = overall_quality(original, sample, targets)
     table = comparison_table(original, sample, targets)
     position = {t: i for i, t in enumerate(targets)}
-    section = F.create_map(*[F.lit(x) for pair in position.items() for x in pair]).getItem(F.col("target"))
+    section = F.create_map(*[F.lit(x) for pair in position.items() for x in pair])[F.col("target")]
     heads = similarity.select(
         section.alias("section"), F.lit(0).alias("part"),
         F.format_string("%s: distribution similarity %.2f%%", "target", "similarity").alias("value"),

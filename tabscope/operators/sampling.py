@@ -11,7 +11,7 @@ from tabscope.functions.aggregates import join_on
 from tabscope.functions.scalars import col
 from tabscope.operators.profile import category_counts
 from tabscope.operators.ranking import pick, pick_rows, rank_in_stratum, shuffle_rows
-from tabscope.session import MAX_GROUP_ROWS
+from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
 # Fixed values.
 DEFAULT_SEED = 42
@@ -121,20 +121,19 @@ def top_up_rare_classes(
     Added rows may repeat rows of the sample. The sample comes back unchanged when no class is rare, when
     nothing can be added, or when the most common class is not larger than the number of added rows.
     """
+    sample = checkpoint(sample)  # read several times below; drawing it again each time would rescan the table
+    plan = checkpoint(top_up_plan(original, sample, label, min_rows))
+    added = plan.agg(F.sum(F.col("from_original") + F.col("copies"))).first()[0] or 0
+    trim = most_common(category_counts(sample, [label]), label).withColumn("remove", F.lit(added))
+    if added == 0 or trim.where(F.col("count") > added).isEmpty():
+        return sample
+
     columns = [col(c) for c in sample.columns]
-    plan = top_up_plan(original, sample, label, min_rows)
-    added = plan.select(F.coalesce(F.sum(F.col("from_original") + F.col("copies")), F.lit(0))).scalar()
-    top = most_common(category_counts(sample, [label]), label)
-    # The class to trim, if the exchange is possible at all; an empty table leaves the sample unchanged.
-    trim = top.withColumn("remove", added).where((F.col("remove") > 0) & (F.col("count") > F.col("remove")))
-    possible = trim.select(F.count(F.lit(1))).scalar() > 0
-
-    active = plan.where(possible)
-    quotas = active.where(F.col("from_original") > 0).select(col(label), F.col("from_original").alias("quota"))
+    quotas = plan.where(F.col("from_original") > 0).select(col(label), F.col("from_original").alias("quota"))
     candidates = join_on(original.select(*columns), quotas.select(col(label)), [label], "left_semi")
     extra = pick(candidates, [label], quotas, keys, seed + 1, max_group_rows=max_group_rows)
 
-    copies = active.where(F.col("copies") > 0).select(col(label), "copies", "have")
+    copies = plan.where(F.col("copies") > 0).select(col(label), "copies", "have")
     slots = copies.withColumn("_slot", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         col(label), (F.pmod(F.col("_slot") - 1, F.col("have")) + 1).alias("_rank")
     )
