@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -47,6 +48,9 @@ def two_sided_p(t: float, df: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, y) / b
 
 
-@F.pandas_udf("double")
-def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
+def _p_values(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([two_sided_p(a, b) for a, b in zip(t.astype(float), df.astype(float))])
+
+
+def t_pvalue(t: Column, df: Column) -> Column:
+    return F.pandas_udf(_p_values, "double")(t, df)

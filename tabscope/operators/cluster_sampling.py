@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tabscope.functions.aggregates import join_on
 from tabscope.functions.scalars import col, fill_zero
 from tabscope.operators.components import connected_components
+from tabscope.operators.models import for_training
 from tabscope.operators.profile import category_counts
 from tabscope.operators.ranking import pick
 from tabscope.operators.sampling import LARGE_GROUP_ROWS, PRESAMPLE_ROWS, presample_large_groups, top_up_rare_classes
@@ -56,7 +57,7 @@ def scaled_in_stratum(df: DataFrame, strata: Sequence[str], features: Sequence[s
 def _medoids(rows: DataFrame, target: int, keys: Sequence[str], seed: int, inits: int, iterations: int) -> DataFrame:
     """Keys of the row nearest to the centre of every non-empty cluster of one stratum."""
     names = [f"_k{i}" for i in range(len(keys))]
-    points = rows.select(*[col(k).alias(n) for k, n in zip(keys, names)], "_x", "_v")
+    points = for_training(rows.select(*[col(k).alias(n) for k, n in zip(keys, names)], "_x", "_v")).persist()
     if target == 1:
         # The centre of a z-scored stratum is 0.
         distance = F.aggregate("_x", F.lit(0.0), lambda s, x: s + x * x)
@@ -76,7 +77,8 @@ def _medoids(rows: DataFrame, target: int, keys: Sequence[str], seed: int, inits
         distance = F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)
         nearest = best.transform(points).join(centres, "prediction").withColumn("_d", distance)
     first = F.min(F.struct("_d", *names)).alias("_first")
-    chosen = nearest.groupBy("prediction").agg(first)
+    chosen = checkpoint(nearest.groupBy("prediction").agg(first))
+    points.unpersist()
     return chosen.select(*[F.col(f"_first.{n}").alias(k) for k, n in zip(keys, names)])
 
 

@@ -31,6 +31,13 @@ SVM_C = 10.0
 HIDDEN_LAYERS = (128, 64, 32)
 
 FITS_AT_ONCE = 4
+# Every training step is one job over all partitions; small training sets are kept in few partitions.
+TRAINING_ROWS_PER_PARTITION = 10_000
+
+
+def for_training(df: DataFrame) -> DataFrame:
+    """Fewer partitions when there are few rows; never more than before."""
+    return df.coalesce(max(1, math.ceil(df.count() / TRAINING_ROWS_PER_PARTITION)))
 
 
 def kernel_features(
@@ -69,7 +76,8 @@ def fit_svm(
     """
     gamma = 1.0 / size
     mapped = kernel_features(train, vector, "_k", size, dimensions, gamma, seed)
-    weighted = with_class_weight(mapped.select(label, "_k"), label).persist()
+    weighted = checkpoint(with_class_weight(mapped.select(label, "_k"), label))
+    weighted = for_training(weighted).persist()
     try:
         rows = weighted.count()
         svm = LinearSVC(
@@ -108,7 +116,11 @@ def fit_perceptron(
     network = MultilayerPerceptronClassifier(
         featuresCol=vector, labelCol=label, layers=layers, seed=seed, maxIter=iterations
     )
-    return network.fit(balanced_by_copies(train.select(label, vector), label))
+    rows = for_training(balanced_by_copies(train.select(label, vector), label)).persist()
+    try:
+        return network.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def log_loss(scored: DataFrame, label: str) -> DataFrame:
