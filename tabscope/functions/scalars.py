@@ -61,9 +61,10 @@ def encode_label_strict(label: Column, mapping: dict[str, int]) -> Column:
 
 
 def finite(value: Column, largest: float = LARGEST_DOUBLE) -> Column:
-    """NaN becomes 0 and the infinities become the largest finite value of their sign."""
-    clean = F.when(F.isnan(value), F.lit(0.0)).otherwise(value)
-    return F.greatest(F.least(clean, F.lit(largest)), F.lit(-largest))
+    """NaN becomes 0 and the infinities become the largest finite value of their sign; null stays."""
+    bounded = F.greatest(F.least(value, F.lit(largest)), F.lit(-largest))
+    # least and greatest skip nulls, so a missing value is set aside first.
+    return F.when(value.isNull(), F.lit(None)).when(F.isnan(value), F.lit(0.0)).otherwise(bounded)
 
 
 def fill_zero(value: Column) -> Column:
