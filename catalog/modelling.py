@@ -199,7 +199,7 @@ def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {RULED},
-folded AS (SELECT *, (row_number() OVER (PARTITION BY l_returnflag ORDER BY {digest_sql(42, KEYS)}, {', '.join(KEYS)}) - 1) % 5 AS fold FROM ruled),
+folded AS (SELECT *, ntile(5) OVER (PARTITION BY l_returnflag ORDER BY {digest_sql(42, KEYS)}, {', '.join(KEYS)}) - 1 AS fold FROM ruled),
 per AS (SELECT fold, avg((l_returnflag = said)::INTEGER) AS accuracy, avg((l_returnflag = 'A')::INTEGER) AS train_accuracy FROM folded GROUP BY fold),
 metrics AS (
   SELECT 'accuracy' AS metric, accuracy AS value FROM per UNION ALL SELECT 'train_accuracy', train_accuracy FROM per

@@ -137,7 +137,7 @@ def rare_aware_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT {', '.join(KEYS)}, l_returnflag,
-  ((row_number() OVER (PARTITION BY l_returnflag ORDER BY {LINE}) - 1) % 5)::INTEGER AS fold FROM lineitem""")
+  (ntile(5) OVER (PARTITION BY l_returnflag ORDER BY {LINE}) - 1)::INTEGER AS fold FROM lineitem""")
 def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lineitem(spark, sf_dir).select(*KEYS, "l_returnflag")
     return sampling.stratified_folds(rows, "l_returnflag", KEYS)

@@ -18,18 +18,29 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+# A table of at most this many narrow rows may be sent to every executor.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame, bound: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``BROADCAST_ROWS`` rows, otherwise unchanged.
+
+    ``bound`` is a known upper bound of its rows; without one they are counted, so pass a table that is
+    cheap to count, such as a checkpointed one.
+    """
+    rows = df.count() if bound is None else bound
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join whose keys match null with null; the keys of ``left`` are kept.
 
-    No broadcast hint: the optimizer picks the strategy from measured sizes and splits skewed keys.
+    Without a hint on ``right`` the optimizer picks the strategy from measured sizes and splits skewed keys.
     """
     if not keys:
         raise ValueError("join_on needs at least one key")
     renamed = {k: f"__{i}" for i, k in enumerate(keys)}
-    other = right.select(
-        *[col(k).alias(renamed[k]) for k in keys],
-        *[col(c) for c in right.columns if c not in renamed],
-    )
+    other = right.withColumnsRenamed(renamed)
     condition = F.lit(True)
     for k, alias in renamed.items():
         condition = condition & left[f"`{k}`"].eqNullSafe(other[alias])

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.functions.aggregates import join_on
+from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col, fill_zero
 from tabscope.operators.components import connected_components
 from tabscope.operators.models import for_training
@@ -50,7 +50,7 @@ def scaled_in_stratum(df: DataFrame, strata: Sequence[str], features: Sequence[s
     scores = F.array(
         *[F.coalesce(F.try_divide(F.col(n) - F.col(f"_m{n}"), F.col(f"_s{n}")), F.lit(0.0)) for n in values]
     )
-    joined = join_on(filled, moments, strata)
+    joined = join_on(filled, small(checkpoint(moments)), strata)
     return joined.withColumn("_x", scores).select(*[col(c) for c in df.columns], "_x")
 
 
@@ -153,7 +153,7 @@ def density_clusters(
         ]
     )
     placed = checkpoint(
-        join_on(points, sizes, strata).withColumn("_cell", coordinates).select(*stratum, *key, "_rows", "_cell")
+        join_on(points, small(checkpoint(sizes)), strata).withColumn("_cell", coordinates).select(*stratum, *key, "_rows", "_cell")
     )
     cells = placed.groupBy(*stratum, "_cell").agg(F.count(F.lit(1)).alias("_n"), F.first("_rows").alias("_rows"))
     means = cells.groupBy(*stratum).agg(F.avg("_n").alias("_mean"))
@@ -217,6 +217,6 @@ def density_sample(
     clusters = checkpoint(density_clusters(scaled_in_stratum(pool, strata, features), strata, keys, dimensions))
     quotas = density_quotas(clusters, targets, strata)
     labelled = join_on(pool, clusters.select(*[col(k) for k in keys], "cluster"), keys)
-    sample = pick(labelled, [*strata, "cluster"], quotas, keys, seed, max_group_rows=max_group_rows)
+    sample = pick(labelled, [*strata, "cluster"], quotas, keys, seed, max_group_rows)
     sample = checkpoint(sample.select(*[col(c) for c in df.columns]))
     return sample if top_up is None else top_up_rare_classes(df, sample, top_up, keys, seed)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.functions.aggregates import join_on
+from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col, fill_zero, finite
+from tabscope.session import checkpoint
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -67,8 +68,8 @@ def dictionary_encode(
     df: DataFrame, column: str, codes: DataFrame | None = None, out: str = "code", unknown: int | None = None
 ) -> DataFrame:
     """Add the rank of ``column`` in a dictionary; values outside it get ``unknown``."""
-    codes = dictionary(df, column) if codes is None else codes
-    coded = join_on(df, codes.withColumnRenamed("code", "_code"), [column], "left")
+    codes = checkpoint(dictionary(df, column) if codes is None else codes)
+    coded = join_on(df, small(codes.withColumnRenamed("code", "_code")), [column], "left")
     value = F.col("_code") if unknown is None else F.coalesce(F.col("_code"), F.lit(unknown))
     return coded.withColumn(out, value).drop("_code")
 

@@ -26,7 +26,8 @@ MAX_CATEGORIES = 1000
 def scaling(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each feature; a constant one gets deviation 1."""
     rows = to_long(df, features).groupBy("feature").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
-    return {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in rows.collect()}
+    found = {r["feature"]: (r["m"] or 0.0, r["s"] or 1.0) for r in rows.collect()}
+    return {c: found.get(c, (0.0, 1.0)) for c in features}
 
 
 def scaled(name: str, fitted: dict[str, tuple[float, float]]) -> Column:

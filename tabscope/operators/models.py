@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col
 from tabscope.operators.evaluate import (
     confusion_matrix,
@@ -62,8 +63,8 @@ def kernel_features(
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Add the balanced class weight of each row; the weights come from one row per class."""
-    weights = class_weights(df, label).select(col(label), F.col("weight").alias(out))
-    return df.join(weights, label)
+    weights = checkpoint(class_weights(df, label).select(col(label), F.col("weight").alias(out)))
+    return join_on(df, small(weights), [label])
 
 
 def fit_svm(
@@ -103,8 +104,8 @@ def balanced_by_copies(df: DataFrame, label: str) -> DataFrame:
     """
     counts = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("_n"))
     largest = counts.select(F.max("_n")).scalar()
-    copies = counts.select(col(label), F.round(largest / F.col("_n")).cast("int").alias("_copies"))
-    return df.join(copies, label).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies")
+    copies = checkpoint(counts.select(col(label), F.round(largest / F.col("_n")).cast("int").alias("_copies")))
+    return join_on(df, small(copies), [label]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies")
 
 
 def fit_perceptron(

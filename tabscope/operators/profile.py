@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabscope.functions.aggregates import join_on
+from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col, quoted
 from tabscope.operators.columns import numeric_columns
 from tabscope.operators.quantiles import exact_quantiles
-from tabscope.session import MAX_GROUP_ROWS
+from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
 # Fixed values.
 NEAR_ZERO_VARIANCE = 1e-10
@@ -174,19 +174,22 @@ def histogram(
     if clip is not None and not by:
         bound = df.count() if rows is None else rows
         upper = exact_quantiles(long, groups, "value", {"upper": clip}, bound, max_group_rows)
+        upper = small(checkpoint(upper), len(features))
         long = join_on(long, upper, groups).where(F.col("value") <= F.col("upper")).drop("upper")
     ends = long.groupBy(*keys).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("total")
     )
     flat = F.col("lo") == F.col("hi")
-    edges = ends.select(
-        *keys, "total",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    edges = checkpoint(
+        ends.select(
+            *keys, "total",
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        )
     )
     cell = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     counts = (
-        join_on(long, edges, groups)
+        join_on(long, small(edges), groups)
         .withColumn("bin", F.least(cell, F.lit(bins - 1)).cast("int"))
         .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("count"))
@@ -211,7 +214,8 @@ def box_fences(
     bound = df.count() if rows is None else rows
     quartiles = exact_quantiles(long, groups, "value", QUARTILES, bound, max_group_rows)
     reach = (F.col("p75") - F.col("p25")) * WHISKER_FACTOR
-    return long, quartiles.withColumn("low_fence", F.col("p25") - reach).withColumn("high_fence", F.col("p75") + reach)
+    fences = quartiles.withColumn("low_fence", F.col("p25") - reach).withColumn("high_fence", F.col("p75") + reach)
+    return long, small(checkpoint(fences))
 
 
 def box_statistics(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.functions.aggregates import join_on, largest_group
+from tabscope.functions.aggregates import join_on, largest_group, small
 from tabscope.functions.scalars import col
 from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
@@ -100,7 +100,7 @@ def _narrow(
     """Replace each rank's bracket by the cell (or, in the last pass, the value) that holds the rank."""
     bracket = [*groups, "lo", "hi"]
     brackets = ranks.select(*[col(c) for c in bracket]).distinct()
-    inside = join_on(present.select(*[col(c) for c in [*groups, value]]), brackets, groups).where(
+    inside = join_on(present.select(*[col(c) for c in [*groups, value]]), small(brackets), groups).where(
         col(value).between(F.col("lo"), F.col("hi"))
     )
     if last:

@@ -1,85 +1,141 @@
-"""Seeded random order of the rows within strata, and exact picks from it.
+"""Seeded random picks that are exact, whatever the size and skew of the strata.
 
 Every random choice of the package is "the first rows of a stratum in the order of a digest of seed and
 row key". The order does not depend on partitioning, and the pick is exact: no Bernoulli sampling.
 
-Ranking a stratum in one window task breaks down when the stratum holds most of a huge table. Strata above
-``max_group_rows`` are therefore cut into cells by the leading hex digits of the digest. Cell counts are
-tiny; their running sum gives every cell's first rank, and rows are ranked inside their cell only. Cells
-are even by construction, however skewed the strata are. With quotas, cells past the quota are dropped
-before the shuffle, so a small sample of a huge table shuffles little more than the sample.
+A pick needs one number per stratum: the digest of its last picked row, the cutoff. Given the cutoffs,
+choosing or splitting rows is a filter with a join on a table of one row per stratum; nothing else is
+shuffled. In strata above ``max_group_rows`` the cutoff is found by narrowing: count the rows per leading
+digits of the digest (4096 cells per stratum, combined before the shuffle), keep the cell that holds the
+wanted row, and look inside that cell only. Two or three such passes over the key columns serve 10^12
+rows, and no task ever sorts a stratum.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.functions.aggregates import join_on, largest_group
+from tabscope.functions.aggregates import join_on, largest_group, small
 from tabscope.functions.scalars import col, digest
-from tabscope.session import MAX_GROUP_ROWS
+from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
+DIGITS_PER_PASS = 3
+MAX_DIGITS = 12
+# Hex digests sort between these two.
+BEFORE_ALL = ""
+AFTER_ALL = "g"
 
-def cell_digits(rows: int, max_group_rows: int) -> int:
-    """Leading hex digits that split ``rows`` into cells well below ``max_group_rows``."""
-    return 0 if rows <= max_group_rows else max(1, math.ceil(math.log(2 * rows / max_group_rows, 16)))
 
+def _running(parts: Sequence[str], order: str) -> Window:
+    return Window.partitionBy(*[col(p) for p in parts]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
-def rank_in_stratum(
-    df: DataFrame, strata: Sequence[str], keys: Sequence[str], seed: int, rank: str = "rank",
-    quotas: DataFrame | None = None, quota: str = "quota", max_group_rows: int = MAX_GROUP_ROWS,
+
+def cutoffs(
+    df: DataFrame, strata: Sequence[str], quotas: DataFrame, keys: Sequence[str], seed: int,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add each row's 1-based position in its stratum (the whole table if ``strata`` is empty).
+    """(strata..., quota, cut, below): the digest of the ``quota``-th row of each stratum.
 
-    ``keys`` must identify the rows. With ``quotas`` (strata..., quota) the quota column is added and only
-    rows with ``rank <= quota`` remain; strata without a quota disappear.
+    ``below`` rows come before it. A quota beyond the stratum gives a cutoff after, a quota of 0 one before
+    all rows. ``quotas`` (strata..., quota) may name several quotas for a stratum.
     """
     strata = list(strata)
-    digits = cell_digits(largest_group(df, strata), max_group_rows)
-    rows = df.withColumn("_digest", digest(seed, keys))
-    order = [F.col("_digest"), *[col(k) for k in keys]]
+    rows = df.select(*[col(s) for s in strata], digest(seed, keys).alias("_digest"))
+    wanted = checkpoint(quotas.select(*[col(s) for s in strata], F.col("quota").cast("long").alias("quota")).distinct())
+    targets = wanted.where(F.col("quota") > 0).select("*", F.lit("").alias("_prefix"), F.lit(0).cast("long").alias("below"))
+    largest = largest_group(df, strata)
+    digits = 0
+    while largest > max_group_rows and digits < MAX_DIGITS:
+        targets = checkpoint(_narrow(rows, targets, strata, digits, digits + DIGITS_PER_PASS))
+        digits += DIGITS_PER_PASS
+        largest = targets.agg(F.max("_inside")).first()[0] or 0
+    found = _narrow(rows, targets, strata, digits, 32).select(
+        *[col(s) for s in strata], "quota", F.col("_prefix").alias("cut"), "below"
+    )
+    beyond = F.when(F.col("quota") > 0, F.lit(AFTER_ALL)).otherwise(F.lit(BEFORE_ALL))
+    return checkpoint(
+        join_on(wanted, found, [*strata, "quota"], "left")
+        .withColumn("cut", F.coalesce("cut", beyond))
+        .withColumn("below", F.coalesce("below", F.lit(0)))
+    )
+
+
+def _narrow(rows: DataFrame, targets: DataFrame, strata: list[str], digits: int, deeper: int) -> DataFrame:
+    """Extend each target's prefix to ``deeper`` digits, following the cell that holds its row."""
+    inside = rows
     if digits == 0:
-        if quotas is not None:
-            rows = join_on(rows, quotas, strata)
-        window = Window.partitionBy(*[col(s) for s in strata]).orderBy(*order)
-        ranked = rows.withColumn(rank, F.row_number().over(window).cast("long"))
+        inside = inside.withColumn("_prefix", F.lit(""))
     else:
-        rows = rows.withColumn("_cell", F.substring("_digest", 1, digits))
-        cell = [*strata, "_cell"]
-        counts = rows.groupBy(*[col(c) for c in cell]).agg(F.count(F.lit(1)).alias("_n"))
-        running = Window.partitionBy(*[col(s) for s in strata]).orderBy("_cell").rowsBetween(
-            Window.unboundedPreceding, -1
+        inside = inside.withColumn("_prefix", F.substring("_digest", 1, digits))
+        prefixes = targets.select(*[col(s) for s in strata], "_prefix").distinct()
+        inside = join_on(inside, small(prefixes), [*strata, "_prefix"], "left_semi")
+    cell = F.substring("_digest", 1, deeper).alias("_cell")
+    cells = inside.groupBy(*[col(s) for s in strata], "_prefix", cell).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [*strata, "_prefix"]
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(_running(parts, "_cell")), F.lit(0)))
+    rank = F.col("quota") - F.col("below")
+    return (
+        join_on(targets.drop("_inside"), cells, parts)
+        .where((rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_n")))
+        .select(
+            *[col(s) for s in strata], "quota", F.col("_cell").alias("_prefix"),
+            (F.col("below") + F.col("_before")).alias("below"), F.col("_n").alias("_inside"),
         )
-        starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0))).drop("_n")
-        if quotas is not None:
-            starts = join_on(starts, quotas, strata).where(F.col("_before") < col(quota))
-        window = Window.partitionBy(*[col(c) for c in cell]).orderBy(*order)
-        ranked = join_on(rows, starts, cell).withColumn(rank, F.col("_before") + F.row_number().over(window))
-        ranked = ranked.drop("_cell", "_before")
-    if quotas is not None:
-        ranked = ranked.where(col(rank) <= col(quota))
-    return ranked.drop("_digest")
+    )
 
 
-def pick(
+def with_cutoff(
     df: DataFrame, strata: Sequence[str], quotas: DataFrame, keys: Sequence[str], seed: int,
-    quota: str = "quota", max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Add ``_digest`` and the stratum's ``quota``, ``cut`` and ``below``; strata without a quota disappear."""
+    cuts = cutoffs(df, strata, quotas, keys, seed, max_group_rows)
+    return join_on(df.withColumn("_digest", digest(seed, keys)), small(cuts), strata)
+
+
+def pick(
+    df: DataFrame, strata: Sequence[str], quotas: DataFrame, keys: Sequence[str] | None, seed: int,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exactly ``quota`` rows of every stratum (all rows when it has fewer)."""
-    ranked = rank_in_stratum(df, strata, keys, seed, "_rank", quotas, quota, max_group_rows)
-    return ranked.select(*[col(c) for c in df.columns])
+    """Exactly ``quota`` rows of every stratum (all rows when it has fewer).
+
+    ``keys`` must identify the rows. Without keys the whole row is the key and rows may repeat: copies of
+    the row at the cutoff are then counted, not gathered, and given out up to the quota.
+    """
+    columns = [col(c) for c in df.columns]
+    marked = with_cutoff(df, strata, quotas, df.columns if keys is None else keys, seed, max_group_rows)
+    if keys is not None:
+        return marked.where(F.col("_digest") <= F.col("cut")).select(*columns)
+    sure = marked.where(F.col("_digest") < F.col("cut")).select(*columns)
+    at = marked.where(F.col("_digest") == F.col("cut")).withColumn("_take", F.col("quota") - F.col("below"))
+    copies = at.groupBy(*columns, "_take").agg(F.count(F.lit(1)).alias("_n"))
+    # Distinct rows that share the digest of the cutoff: one, unless they differ only in what is null.
+    window = Window.partitionBy(*[col(s) for s in strata]).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    given = F.least(F.col("_n"), F.greatest(F.lit(0), F.col("_take") - F.coalesce(F.sum("_n").over(window), F.lit(0))))
+    repeated = copies.withColumn("_given", given).where(F.col("_given") > 0)
+    shared = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_given")))).select(*columns)
+    return sure.unionByName(shared)
+
+
+def whole(df: DataFrame) -> DataFrame:
+    """Add ``_all``, the one stratum of a table without strata."""
+    return df.withColumn("_all", F.lit(0))
+
+
+def one_quota(df: DataFrame, n: int | Column) -> DataFrame:
+    """The quota table of that one stratum; ``n`` is a number or a scalar expression."""
+    value = F.lit(n) if isinstance(n, int) else n
+    return df.sparkSession.range(1).select(F.lit(0).alias("_all"), value.cast("long").alias("quota"))
 
 
 def pick_rows(
-    df: DataFrame, n: int, keys: Sequence[str], seed: int, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, n: int, keys: Sequence[str] | None, seed: int, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Exactly ``n`` rows of the whole table (all rows when it has fewer)."""
-    whole = df.withColumn("_all", F.lit(0))
-    quotas = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("long").alias("quota"))
-    return pick(whole, ["_all"], quotas, keys, seed, max_group_rows=max_group_rows).drop("_all")
+    return pick(whole(df), ["_all"], one_quota(df, n), keys, seed, max_group_rows).drop("_all")
 
 
 def shuffle_rows(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.functions.aggregates import join_on
-from tabscope.functions.scalars import col
+from tabscope.functions.aggregates import join_on, small
+from tabscope.functions.scalars import col, digest
 from tabscope.operators.profile import category_counts
-from tabscope.operators.ranking import pick, pick_rows, rank_in_stratum, shuffle_rows
+from tabscope.operators.ranking import cutoffs, one_quota, pick, pick_rows, shuffle_rows, whole, with_cutoff
 from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
 # Fixed values.
@@ -41,11 +41,11 @@ def stratum_quotas(
 
 
 def stratified_sample(
-    df: DataFrame, strata: Sequence[str], keys: Sequence[str], sample_size: int = DEFAULT_SAMPLE_SIZE,
+    df: DataFrame, strata: Sequence[str], keys: Sequence[str] | None, sample_size: int = DEFAULT_SAMPLE_SIZE,
     seed: int = DEFAULT_SEED, min_rows: int = MIN_ROWS_PER_STRATUM, top_up: str | None = None,
     shuffled: bool = False, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exact stratified sample without replacement.
+    """Exact stratified sample without replacement; ``keys`` identify the rows (None: rows may repeat).
 
     ``top_up`` names a class column whose rare classes are filled up afterwards; ``shuffled`` puts the
     result in random order.
@@ -54,24 +54,25 @@ def stratified_sample(
     sample = pick(df, strata, quotas, keys, seed, max_group_rows=max_group_rows)
     if top_up is not None:
         sample = top_up_rare_classes(df, sample, top_up, keys, seed, max_group_rows=max_group_rows)
-    return shuffle_rows(sample, keys, seed) if shuffled else sample
+    return shuffle_rows(sample, keys or sample.columns, seed) if shuffled else sample
 
 
 def simple_random_sample(
-    df: DataFrame, n: int, keys: Sequence[str], seed: int = DEFAULT_SEED, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, n: int, keys: Sequence[str] | None, seed: int = DEFAULT_SEED,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exactly ``n`` random rows."""
     return pick_rows(df, n, keys, seed, max_group_rows)
 
 
 def presample_large_groups(
-    df: DataFrame, strata: Sequence[str], keys: Sequence[str], large: int = LARGE_GROUP_ROWS,
+    df: DataFrame, strata: Sequence[str], keys: Sequence[str] | None, large: int = LARGE_GROUP_ROWS,
     rows: int = PRESAMPLE_ROWS, seed: int = DEFAULT_SEED, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Groups with more than ``large`` rows are reduced to ``rows``; the others stay whole."""
     quota = F.when(F.col("count") > large, F.lit(rows)).otherwise(F.col("count")).alias("quota")
     quotas = category_counts(df, strata).select(*[col(s) for s in strata], quota)
-    return pick(df, strata, quotas, keys, seed, max_group_rows=max_group_rows)
+    return pick(df, strata, quotas, keys, seed, max_group_rows)
 
 
 def most_common(counts: DataFrame, label: str) -> DataFrame:
@@ -80,15 +81,25 @@ def most_common(counts: DataFrame, label: str) -> DataFrame:
 
 
 def trim_class(
-    df: DataFrame, label: str, removals: DataFrame, keys: Sequence[str], seed: int = DEFAULT_SEED,
+    df: DataFrame, label: str, removals: DataFrame, keys: Sequence[str] | None, seed: int = DEFAULT_SEED,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Remove the first ``remove`` rows (in random order) of each class listed in ``removals``."""
-    victims = join_on(df, removals.select(col(label), F.col("remove")), [label])
-    touched = rank_in_stratum(victims, [label], keys, seed, "_rank", max_group_rows=max_group_rows)
-    kept = touched.where(F.col("_rank") > F.col("remove")).select(*[col(c) for c in df.columns])
-    others = join_on(df, removals.select(col(label)), [label], "left_anti")
-    return others.select(*[col(c) for c in df.columns]).unionByName(kept)
+    """Remove the first ``remove`` rows (in random order) of each class listed in ``removals``.
+
+    The others of such a class are picked by their number, in the reverse of that order for a table whose
+    rows may repeat.
+    """
+    removals = checkpoint(removals.select(col(label), F.col("remove").cast("long").alias("quota")))
+    others = join_on(df, small(removals), [label], "left_anti")
+    touched = join_on(df, small(removals.select(col(label))), [label], "left_semi")
+    if keys is None:
+        counts = category_counts(touched, [label])
+        rest = join_on(counts, removals, [label]).select(col(label), (F.col("count") - F.col("quota")).alias("quota"))
+        return others.unionByName(pick(touched, [label], rest, None, seed, max_group_rows))
+    marked = with_cutoff(touched, [label], removals, keys, seed, max_group_rows)
+    kept = marked.where(F.col("_digest") > F.col("cut"))
+    columns = [col(c) for c in df.columns]
+    return others.select(*columns).unionByName(kept.select(*columns))
 
 
 def top_up_plan(
@@ -113,7 +124,7 @@ def top_up_plan(
 
 
 def top_up_rare_classes(
-    original: DataFrame, sample: DataFrame, label: str, keys: Sequence[str], seed: int = DEFAULT_SEED,
+    original: DataFrame, sample: DataFrame, label: str, keys: Sequence[str] | None, seed: int = DEFAULT_SEED,
     min_rows: int = MIN_ROWS_PER_CLASS, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fill every rare class up to ``min_rows`` and take as many rows from the most common class.
@@ -130,15 +141,17 @@ def top_up_rare_classes(
 
     columns = [col(c) for c in sample.columns]
     quotas = plan.where(F.col("from_original") > 0).select(col(label), F.col("from_original").alias("quota"))
-    candidates = join_on(original.select(*columns), quotas.select(col(label)), [label], "left_semi")
-    extra = pick(candidates, [label], quotas, keys, seed + 1, max_group_rows=max_group_rows)
+    candidates = join_on(original.select(*columns), small(quotas.select(col(label))), [label], "left_semi")
+    extra = pick(candidates, [label], quotas, keys, seed + 1, max_group_rows)
 
     copies = plan.where(F.col("copies") > 0).select(col(label), "copies", "have")
-    slots = copies.withColumn("_slot", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        col(label), (F.pmod(F.col("_slot") - 1, F.col("have")) + 1).alias("_rank")
+    slots = copies.withColumn("_slot", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        col(label), (F.pmod(F.col("_slot") - 1, F.col("have")) + 1).cast("int").alias("_rank")
     )
+    # A rare class has fewer than min_rows rows in the sample.
+    order = Window.partitionBy(col(label)).orderBy(digest(seed + 2, keys or sample.columns), *[col(k) for k in keys or []])
     existing = join_on(sample, copies.select(col(label)), [label], "left_semi")
-    existing = rank_in_stratum(existing, [label], keys, seed + 2, "_rank", max_group_rows=max_group_rows)
+    existing = existing.withColumn("_rank", F.row_number().over(order))
     copied = join_on(existing, slots, [label, "_rank"]).select(*columns)
 
     kept = trim_class(sample, label, trim.select(col(label), "remove"), keys, seed, max_group_rows)
@@ -149,12 +162,17 @@ def random_split(
     df: DataFrame, keys: Sequence[str], train_share: float = 0.9, seed: int = DEFAULT_SEED,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add ``split``: exactly round(train_share * rows) random rows are ``train``, the rest ``test``."""
-    whole = df.withColumn("_all", F.lit(0))
-    total = df.select(F.count(F.lit(1))).scalar()
-    ranked = rank_in_stratum(whole, ["_all"], keys, seed, "_rank", max_group_rows=max_group_rows)
-    train = F.col("_rank") <= F.round(F.lit(train_share) * total)
-    return ranked.withColumn("split", F.when(train, "train").otherwise("test")).drop("_all", "_rank")
+    """Add ``split``: exactly round(train_share * rows) random rows are ``train``, the rest ``test``.
+
+    Rows that share a key stay on one side.
+    """
+    train = F.round(F.lit(train_share) * df.select(F.count(F.lit(1))).scalar())
+    marked = with_cutoff(whole(df), ["_all"], one_quota(df, train), keys, seed, max_group_rows)
+    return _split(marked).select(*[col(c) for c in df.columns], "split")
+
+
+def _split(marked: DataFrame) -> DataFrame:
+    return marked.withColumn("split", F.when(F.col("_digest") <= F.col("cut"), "train").otherwise("test"))
 
 
 def test_allocation(counts: DataFrame, label: str, test_share: float) -> DataFrame:
@@ -181,14 +199,14 @@ def stratified_split(
     """Add ``split`` so that each class keeps its share in both parts.
 
     Classes with at most ``rare_rows`` rows are kept out of the allocation: one row trains, the rest test.
+    Rows that share a key stay on one side.
     """
     counts = category_counts(df, [label])
     common = test_allocation(counts.where(F.col("count") > rare_rows), label, test_share)
     rare = counts.where(F.col("count") <= rare_rows).withColumn("train_rows", F.lit(1).cast("long"))
-    cuts = common.unionByName(rare).select(col(label), "train_rows")
-    ranked = rank_in_stratum(df, [label], keys, seed, "_rank", max_group_rows=max_group_rows)
-    split = F.when(F.col("_rank") <= F.col("train_rows"), "train").otherwise("test")
-    return join_on(ranked, cuts, [label]).withColumn("split", split).drop("_rank", "train_rows")
+    quotas = common.unionByName(rare).select(col(label), F.col("train_rows").alias("quota"))
+    marked = with_cutoff(df, [label], quotas, keys, seed, max_group_rows)
+    return _split(marked).select(*[col(c) for c in df.columns], "split")
 
 
 def rare_aware_split(
@@ -203,9 +221,22 @@ def stratified_folds(
     df: DataFrame, label: str, keys: Sequence[str], folds: int = 5, seed: int = DEFAULT_SEED,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add ``fold`` 0..folds-1; the folds of a class differ by at most one row."""
-    ranked = rank_in_stratum(df, [label], keys, seed, "_rank", max_group_rows=max_group_rows)
-    return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_rank")
+    """Add ``fold`` 0..folds-1; the folds of a class differ by at most one row.
+
+    A class is cut into consecutive parts of its random order, so only the cutoffs between them are needed.
+    """
+    n, k = F.col("count"), F.lit(folds)
+    ends = F.transform(
+        F.sequence(F.lit(1), F.lit(folds - 1)),
+        lambda i: i * F.floor(n / k) + F.least(i.cast("long"), n % k),
+    )
+    quotas = category_counts(df, [label]).select(col(label), F.explode(ends).alias("quota"))
+    quotas = checkpoint(quotas)
+    cuts = join_on(quotas, cutoffs(df, [label], quotas, keys, seed, max_group_rows), [label, "quota"])
+    per_class = checkpoint(cuts.groupBy(col(label)).agg(F.collect_list("cut").alias("_cuts")))
+    rows = join_on(df.withColumn("_digest", digest(seed, keys)), small(per_class), [label])
+    passed = F.filter("_cuts", lambda c: F.col("_digest") > c)
+    return rows.withColumn("fold", F.size(passed)).drop("_digest", "_cuts")
 
 
 def missing_classes(expected: DataFrame, present: DataFrame, label: str) -> DataFrame:
