@@ -98,7 +98,10 @@ def classify_samples(
     """
     parts = []
     fitted = None
+    # A column that is constant in one sample is missing there; only shared columns are encoded.
+    shared = set.intersection(*[set(s.columns) for s in samples.values()])
     for name, sample in samples.items():
+        sample = sample.select(*[col(c) for c in sample.columns if c in shared])
         numeric = dict(sample.dtypes)[label] != "string"
         coded = label_index(sample, class_column, "_class").withColumn(
             "_binary", encode_label_tolerant(col(label), numeric)
