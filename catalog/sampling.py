@@ -201,6 +201,46 @@ def comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.comparison_table(*orders_and_sample(spark, sf_dir), TARGETS)
 
 
+CLUSTERED = """clustered AS (
+  SELECT *, CASE WHEN l_linenumber <= 5 THEN 'c' || l_linenumber END AS cluster FROM lineitem)"""
+
+
+@query("""
+WITH counts AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
+SELECT event_type, least(greatest(round(n / (SELECT sum(n) FROM counts) * 777), 1)::BIGINT, n) AS target FROM counts""")
+def cluster_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_sampling.cluster_targets(table(spark, sf_dir, "events"), ["event_type"], 777)
+
+
+@query(f"""
+WITH {CLUSTERED}, sizes AS (SELECT l_returnflag, cluster, count(*) AS size FROM clustered GROUP BY ALL),
+totals AS (SELECT l_returnflag, sum(size) AS rows FROM sizes GROUP BY 1),
+targets AS (SELECT l_returnflag, rows, least(greatest(round(rows / (SELECT count(*) FROM lineitem) * 1000), 1)::BIGINT, rows) AS target FROM totals),
+planned AS (SELECT *, CASE WHEN cluster IS NULL THEN size ELSE least(greatest(1, floor(size / rows * target)), size) END AS wanted
+  FROM sizes JOIN targets USING (l_returnflag)),
+used AS (SELECT *, coalesce(sum(wanted) OVER (PARTITION BY l_returnflag ORDER BY cluster NULLS LAST
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM planned)
+SELECT l_returnflag, cluster, least(wanted, greatest(0, target - before))::BIGINT AS quota FROM used""")
+def cluster_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("l_linenumber")
+    clustered = lineitem(spark, sf_dir).withColumn("cluster", F.when(number <= 5, F.concat(F.lit("c"), number)))
+    targets = cluster_sampling.cluster_targets(clustered, ["l_returnflag"], 1000)
+    return cluster_sampling.density_quotas(clustered, targets, ["l_returnflag"])
+
+
+@query("""
+WITH m AS (SELECT l_returnflag, avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_tax) AS mt, stddev_pop(l_tax) AS st
+  FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round((l_quantity - mq) / sq, 6) + 0.0 AS quantity,
+  round((l_tax - mt) / st, 6) + 0.0 AS tax, 0::DOUBLE AS konst
+FROM lineitem JOIN m USING (l_returnflag)""")
+def scaled_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = ["l_quantity", "l_tax", "konst"]
+    scaled = cluster_sampling.scaled_in_stratum(li(spark, sf_dir), ["l_returnflag"], features)
+    wide = scaled.select(*KEYS, *[F.col("_x")[i].alias(n) for i, n in enumerate(("quantity", "tax", "konst"))])
+    return rounded(wide, 6, "quantity", "tax", "konst")
+
+
 @query()
 def kmeans_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, features = emb(spark, sf_dir)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.functions.scalars import col, finite, port_category, port_flags
+from tabscope.functions.scalars import LARGEST_DOUBLE, col, port_category, port_flags
 from tabscope.operators.columns import numeric_columns
 from tabscope.operators.profile import to_long
 
@@ -74,6 +74,12 @@ def label_index(df: DataFrame, label: str, out: str = "label_index", classes: Se
     return df.withColumn(out, checked.cast("long"))
 
 
+def complete(value: Column) -> Column:
+    """Null and NaN become 0, an infinity the largest finite value; the expression is evaluated once."""
+    present = F.coalesce(F.nanvl(value.cast("double"), F.lit(0.0)), F.lit(0.0))
+    return F.greatest(F.least(present, F.lit(LARGEST_DOUBLE)), F.lit(-LARGEST_DOUBLE))
+
+
 @dataclass
 class Preprocessor:
     """Column-wise encoding, fitted once and applied to any table with the same columns.
@@ -112,7 +118,7 @@ class Preprocessor:
     def transform(self, df: DataFrame, out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
         """(keep..., out): the encoded columns as one vector."""
         parts = self.columns()
-        numbered = [F.coalesce(finite(p.cast("double")), F.lit(0.0)).alias(f"_f{i}") for i, p in enumerate(parts)]
+        numbered = [complete(p).alias(f"_f{i}") for i, p in enumerate(parts)]
         plain = df.select(*[col(k) for k in keep], *numbered)
         names = [f"_f{i}" for i in range(len(parts))]
         assembled = VectorAssembler(inputCols=names, outputCol=out).transform(plain)

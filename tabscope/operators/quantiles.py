@@ -88,9 +88,8 @@ def _narrowed(
             break
     low = F.max(F.when(F.col("side") == 0, F.col("lo")))
     high = F.max(F.when(F.col("side") == 1, F.col("lo")))
-    per_quantile = ranks.groupBy(*keys, "quantile").agg(
-        (low + (high - low) * F.max("share")).alias("_v")
-    )
+    between = F.when(low == high, low).otherwise(low + (high - low) * F.max("share"))
+    per_quantile = ranks.groupBy(*keys, "quantile").agg(between.alias("_v"))
     return per_quantile.groupBy(*keys).pivot("quantile", list(quantiles)).agg(F.first("_v"))
 
 

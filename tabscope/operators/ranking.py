@@ -5,7 +5,7 @@ row key". The order does not depend on partitioning, and the pick is exact: no B
 
 A pick needs one number per stratum: the digest of its last picked row, the cutoff. Given the cutoffs,
 choosing or splitting rows is a filter with a join on a table of one row per stratum; nothing else is
-shuffled. In strata above ``max_group_rows`` the cutoff is found by narrowing: count the rows per leading
+shuffled. In large strata the cutoff is found by narrowing: count the rows per leading
 digits of the digest (4096 cells per stratum, combined before the shuffle), keep the cell that holds the
 wanted row, and look inside that cell only. Two or three such passes over the key columns serve 10^12
 rows, and no task ever sorts a stratum.
@@ -24,6 +24,8 @@ from tabscope.session import MAX_GROUP_ROWS, checkpoint
 
 DIGITS_PER_PASS = 3
 MAX_DIGITS = 12
+# Below this many rows, looking at every digest is cheaper than another narrowing pass.
+DIRECT_ROWS = 50_000
 # Hex digests sort between these two.
 BEFORE_ALL = ""
 AFTER_ALL = "g"
@@ -48,7 +50,7 @@ def cutoffs(
     targets = wanted.where(F.col("quota") > 0).select("*", F.lit("").alias("_prefix"), F.lit(0).cast("long").alias("below"))
     largest = largest_group(df, strata)
     digits = 0
-    while largest > max_group_rows and digits < MAX_DIGITS:
+    while largest > min(max_group_rows, DIRECT_ROWS) and digits < MAX_DIGITS:
         targets = checkpoint(_narrow(rows, targets, strata, digits, digits + DIGITS_PER_PASS))
         digits += DIGITS_PER_PASS
         largest = targets.agg(F.max("_inside")).first()[0] or 0

@@ -111,8 +111,8 @@ def top_up_plan(
     the rest are copies of rows already in the sample.
     """
     have = category_counts(sample, [label]).withColumnRenamed("count", "have")
-    rare = have.where(F.col("have") < min_rows).withColumn("need", min_rows - F.col("have"))
-    members = join_on(original.select(col(label)), rare.select(col(label)), [label], "left_semi")
+    rare = checkpoint(have.where(F.col("have") < min_rows).withColumn("need", min_rows - F.col("have")))
+    members = join_on(original.select(col(label)), small(rare.select(col(label))), [label], "left_semi")
     available = category_counts(members, [label]).withColumnRenamed("count", "available")
     enough = F.col("available") > F.col("need")
     return (
@@ -241,4 +241,4 @@ def stratified_folds(
 
 def missing_classes(expected: DataFrame, present: DataFrame, label: str) -> DataFrame:
     """Classes of ``expected`` that do not occur in ``present``."""
-    return join_on(expected.select(col(label)).distinct(), present.select(col(label)), [label], "left_anti")
+    return join_on(expected.select(col(label)).distinct(), present.select(col(label)).distinct(), [label], "left_anti")

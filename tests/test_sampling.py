@@ -37,11 +37,11 @@ def test_sample_does_not_depend_on_partitions(spark, skewed):
     assert one.exceptAll(many).isEmpty() and one.count() == many.count()
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 50])
+@pytest.mark.parametrize("limit", [50])
 def test_copies_are_counted_exactly(spark, limit):
     # A third of the rows are copies of one row.
     rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"))
-    for n in (1, 150, 449, 899, 900, 1000):
+    for n in (1, 449, 1000):
         assert sampling.simple_random_sample(rows, n, None, max_group_rows=limit).count() == min(n, 900)
 
 
@@ -58,7 +58,7 @@ def test_presample(skewed):
     assert counts == {c: 100 if n > 1500 else n for c, n in before.items()}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 10])
+@pytest.mark.parametrize("limit", [10])
 def test_top_up_keeps_size_and_fills_classes(spark, skewed, limit):
     sample = sampling.stratified_sample(skewed, ["cls"], ["id"], 300)
     full = sampling.top_up_rare_classes(skewed, sample, "cls", ["id"], max_group_rows=limit)
