@@ -10,6 +10,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col, fill_zero
@@ -18,7 +19,7 @@ from tabscope.operators.models import for_training
 from tabscope.operators.profile import category_counts
 from tabscope.operators.ranking import pick
 from tabscope.operators.sampling import LARGE_GROUP_ROWS, PRESAMPLE_ROWS, presample_large_groups, top_up_rare_classes
-from tabscope.session import MAX_GROUP_ROWS, checkpoint
+from tabscope.session import MAX_GROUP_ROWS, checkpoint, scratch_path
 
 # Fixed values.
 CLUSTER_SAMPLE_SIZE = 10_000
@@ -92,29 +93,33 @@ def kmeans_sample(
 
     Strata above ``large`` rows are pre-sampled first. The best of ``inits`` seeds by training cost counts.
     """
+    spark = df.sparkSession
     targets = cluster_targets(df, strata, sample_size).limit(MAX_STRATA + 1).collect()
     if len(targets) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata; one model is trained for each")
-    pool = presample_large_groups(df, strata, keys, large, presample, seed, max_group_rows)
-    scored = scaled_in_stratum(checkpoint(pool), strata, features)
+    types = [f for f in df.schema.fields if f.name in set(strata)]
+    types = sorted(types, key=lambda f: list(strata).index(f.name)) + [T.StructField("_stratum", T.IntegerType())]
+    numbers = spark.createDataFrame([(*[r[s] for s in strata], i) for i, r in enumerate(targets)], T.StructType(types))
+
+    pool = checkpoint(presample_large_groups(df, strata, keys, large, presample, seed, max_group_rows))
+    scored = join_on(scaled_in_stratum(pool, strata, features), small(numbers, MAX_STRATA), strata)
     names = [f"_e{i}" for i in range(len(features))]
-    spread = scored.select("*", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(spread).drop(*names).persist()
-    try:
-        def one(row) -> DataFrame:
-            mine = F.lit(True)
-            for s in strata:
-                mine = mine & col(s).eqNullSafe(F.lit(row[s]))
-            return _medoids(vectors.where(mine), row["target"], keys, seed, inits, iterations)
-
-        with ThreadPoolExecutor(MODELS_AT_ONCE) as threads:
-            parts = list(threads.map(one, targets))
-        chosen = parts[0]
-        for part in parts[1:]:
-            chosen = chosen.unionByName(part)
-        sample = checkpoint(join_on(vectors.select(*[col(c) for c in df.columns]), chosen, keys, "left_semi"))
-    finally:
-        vectors.unpersist()
+    spread = scored.select(*[col(k) for k in keys], "_stratum", "_x", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
+    vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(spread).drop(*names)
+    # One folder per stratum: every model reads its own rows only.
+    path = scratch_path(spark, "strata")
+    vectors.write.partitionBy("_stratum").parquet(path)
+
+    def one(number: int) -> DataFrame:
+        mine = spark.read.parquet(path).where(F.col("_stratum") == number)
+        return _medoids(mine, targets[number]["target"], keys, seed, inits, iterations)
+
+    with ThreadPoolExecutor(MODELS_AT_ONCE) as threads:
+        parts = list(threads.map(one, range(len(targets))))
+    chosen = parts[0]
+    for part in parts[1:]:
+        chosen = chosen.unionByName(part)
+    sample = checkpoint(join_on(pool, chosen, keys, "left_semi"))
     return sample if top_up is None else top_up_rare_classes(df, sample, top_up, keys, seed)
 
 

@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    return check_queries.session("4")
+    return check_queries.session("8")
 
 
 @pytest.fixture(scope="session")
