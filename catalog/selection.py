@@ -65,6 +65,16 @@ def numeric_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correlate.numeric_correlations(part, ["konst"]), 6, "r").select("feature1", "feature2", "r")
 
 
+SQUARE = ", ".join(
+    f"max(round(r, 6) + 0.0) FILTER (feature2 = '{c}') AS {c}" for c in CODED
+)
+
+
+@query(f"WITH {MATRIX} SELECT feature1 AS feature, {SQUARE} FROM matrix GROUP BY feature1")
+def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(correlate.correlation_matrix(matrix(spark, sf_dir)), 6, *CODED)
+
+
 @query(f"WITH {PAIRS} SELECT * FROM pairs")
 def high_corr_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correlate.high_correlation_pairs(matrix(spark, sf_dir)), 6, "correlation")

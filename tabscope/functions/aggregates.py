@@ -43,7 +43,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     other = right.withColumnsRenamed(renamed)
     condition = F.lit(True)
     for k, alias in renamed.items():
-        condition = condition & left[f"`{k}`"].eqNullSafe(other[alias])
+        condition = condition & col(k).eqNullSafe(F.col(alias))
     return left.join(other, condition, how).drop(*renamed.values())
 
 

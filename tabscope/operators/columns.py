@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabscope.functions.aggregates import join_on, small
-from tabscope.functions.scalars import col, fill_zero, finite
+from tabscope.functions.scalars import col, fill_zero, finite, sanitize_name
 from tabscope.session import checkpoint
 
 
@@ -25,6 +25,12 @@ def column_listing(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string, is_numeric boolean")
 
 
+def safe_names(df: DataFrame) -> DataFrame:
+    """(column, safe): every column name with its form for files and identifiers."""
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
+    return names.withColumn("safe", sanitize_name(F.col("column")))
+
+
 def drop_columns(df: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:
     """Drop columns; ``strict`` raises if one is absent, otherwise absent names are ignored."""
     absent = [n for n in names if n not in df.columns]

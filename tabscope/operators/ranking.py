@@ -93,8 +93,9 @@ def with_cutoff(
     df: DataFrame, strata: Sequence[str], quotas: DataFrame, keys: Sequence[str], seed: int,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add ``_digest`` and the stratum's ``quota``, ``cut`` and ``below``; strata without a quota disappear."""
+    """Add ``_digest`` and the stratum's ``_quota``, ``_cut`` and ``_below``; strata without a quota disappear."""
     cuts = cutoffs(df, strata, quotas, keys, seed, max_group_rows)
+    cuts = cuts.select(*[col(s) for s in strata], *[F.col(c).alias(f"_{c}") for c in ("quota", "cut", "below")])
     return join_on(df.withColumn("_digest", digest(seed, keys)), small(cuts), strata)
 
 
@@ -110,9 +111,9 @@ def pick(
     columns = [col(c) for c in df.columns]
     marked = with_cutoff(df, strata, quotas, df.columns if keys is None else keys, seed, max_group_rows)
     if keys is not None:
-        return marked.where(F.col("_digest") <= F.col("cut")).select(*columns)
-    sure = marked.where(F.col("_digest") < F.col("cut")).select(*columns)
-    at = marked.where(F.col("_digest") == F.col("cut")).withColumn("_take", F.col("quota") - F.col("below"))
+        return marked.where(F.col("_digest") <= F.col("_cut")).select(*columns)
+    sure = marked.where(F.col("_digest") < F.col("_cut")).select(*columns)
+    at = marked.where(F.col("_digest") == F.col("_cut")).withColumn("_take", F.col("_quota") - F.col("_below"))
     copies = at.groupBy(*columns, "_take").agg(F.count(F.lit(1)).alias("_n"))
     # Distinct rows that share the digest of the cutoff: one, unless they differ only in what is null.
     window = Window.partitionBy(*[col(s) for s in strata]).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)

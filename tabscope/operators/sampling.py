@@ -97,7 +97,7 @@ def trim_class(
         rest = join_on(counts, removals, [label]).select(col(label), (F.col("count") - F.col("quota")).alias("quota"))
         return others.unionByName(pick(touched, [label], rest, None, seed, max_group_rows))
     marked = with_cutoff(touched, [label], removals, keys, seed, max_group_rows)
-    kept = marked.where(F.col("_digest") > F.col("cut"))
+    kept = marked.where(F.col("_digest") > F.col("_cut"))
     columns = [col(c) for c in df.columns]
     return others.select(*columns).unionByName(kept.select(*columns))
 
@@ -172,7 +172,7 @@ def random_split(
 
 
 def _split(marked: DataFrame) -> DataFrame:
-    return marked.withColumn("split", F.when(F.col("_digest") <= F.col("cut"), "train").otherwise("test"))
+    return marked.withColumn("split", F.when(F.col("_digest") <= F.col("_cut"), "train").otherwise("test"))
 
 
 def test_allocation(counts: DataFrame, label: str, test_share: float) -> DataFrame:

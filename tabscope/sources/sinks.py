@@ -10,6 +10,25 @@ from pyspark.sql import functions as F
 from tabscope.functions.scalars import col
 
 
+# The lines of the text reports.
+KEPT_LINE = "%s (kept %s from same group)"
+SUMMARY_LINES = {
+    "analyzed": "Total features analyzed: %d",
+    "strong": "Features with strong correlation (|r| > 0.3): %d",
+    "moderate": "Features with moderate correlation (0.1 < |r| <= 0.3): %d",
+    "significant": "Statistically significant features (p < 0.05): %d",
+}
+FEATURE_LINE = "- %s: r=%s, p=%s, Cohen's d=%s"
+VARIANCE_LINES = {
+    "original_features": "Original features: %d",
+    "reduced_features": "Reduced features: %d",
+    "feature_reduction_pct": "Feature reduction: %.1f%%",
+    "variance_at_reduced_count": "Variance explained at the reduced count: %.2f%%",
+    "orig_components_for_80pct": "Components needed for 80%% variance (original): %d",
+    "reduced_components_for_80pct": "Components needed for 80%% variance (reduced): %d",
+}
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -46,43 +65,28 @@ def group_lines(groups: DataFrame) -> DataFrame:
 def selection_lines(selection: DataFrame, status: str) -> DataFrame:
     """One line per selected or dropped feature; dropped ones name the feature kept instead."""
     chosen = selection.where(F.col("status") == status).orderBy("feature")
-    kept = F.format_string("%s (kept %s from same group)", "feature", "kept_feature")
+    kept = F.format_string(KEPT_LINE, "feature", "kept_feature")
     return chosen.select((kept if status == "dropped" else F.col("feature")).alias("value"))
 
 
+def _lines(df: DataFrame, formats: dict[str, str]) -> DataFrame:
+    """(position, value): one formatted line per named column of a one-row table."""
+    lines = F.array(*[F.format_string(text, name) for name, text in formats.items()])
+    return df.select(F.posexplode(lines).alias("position", "value"))
+
+
 def association_lines(summary: DataFrame, association: DataFrame, n: int = 10) -> DataFrame:
-    """Counts and the strongest features as text lines."""
-    counts = summary.select(
-        F.posexplode(
-            F.array(
-                F.format_string("Total features analyzed: %d", "analyzed"),
-                F.format_string("Features with strong correlation (|r| > 0.3): %d", "strong"),
-                F.format_string("Features with moderate correlation (0.1 < |r| <= 0.3): %d", "moderate"),
-                F.format_string("Statistically significant features (p < 0.05): %d", "significant"),
-            )
-        ).alias("position", "value")
-    ).select(F.lit(0.0).alias("order"), "position", "value")
-    top = association.orderBy(F.abs("point_biserial_corr").desc_nulls_last(), "feature").limit(n).select(
-        (-F.abs("point_biserial_corr")).alias("_o"),
-        F.format_string(
-            "- %s: r=%s, p=%s, Cohen's d=%s", "feature", F.col("point_biserial_corr").cast("string"),
-            F.col("corr_p_value").cast("string"), F.col("cohens_d").cast("string"),
-        ).alias("value"),
-    ).select((F.col("_o") + 2).alias("order"), F.lit(0).alias("position"), "value")
-    return counts.unionByName(top).orderBy("order", "position", "value").select("value")
+    """Counts, then the ``n`` strongest features, as text lines."""
+    strength = F.abs("point_biserial_corr")
+    texts = [F.col(c).cast("string") for c in ("point_biserial_corr", "corr_p_value", "cohens_d")]
+    top = association.orderBy(strength.desc_nulls_last(), "feature").limit(n).select(
+        F.lit(1).alias("part"), (-F.coalesce(strength, F.lit(-1.0))).alias("position"),
+        F.format_string(FEATURE_LINE, "feature", *texts).alias("value"),
+    )
+    counts = _lines(summary, SUMMARY_LINES).select(F.lit(0).alias("part"), F.col("position").cast("double"), "value")
+    return counts.unionByName(top).orderBy("part", "position", "value").select("value")
 
 
 def variance_lines(summary: DataFrame) -> DataFrame:
     """The principal-component summary as text lines."""
-    return summary.select(
-        F.explode(
-            F.array(
-                F.format_string("Original features: %d", "original_features"),
-                F.format_string("Reduced features: %d", "reduced_features"),
-                F.format_string("Feature reduction: %.1f%%", "feature_reduction_pct"),
-                F.format_string("Variance at the reduced count: %.2f%%", "variance_at_reduced_count"),
-                F.format_string("Components for 80%% variance (original): %d", "orig_components_for_80pct"),
-                F.format_string("Components for 80%% variance (reduced): %d", "reduced_components_for_80pct"),
-            )
-        ).alias("value")
-    )
+    return _lines(summary, VARIANCE_LINES).orderBy("position").select("value")

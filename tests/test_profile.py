@@ -127,3 +127,10 @@ def test_dictionary_encode_unknown_and_null(spark):
     codes = columns.dictionary(df.where("x <> 'c'"), "x")
     found = {r["x"]: r["code"] for r in columns.dictionary_encode(df, "x", codes, unknown=-1).collect()}
     assert found == {"a": 0, "b": 1, "c": -1, None: -1}
+
+
+def test_safe_names(spark):
+    df = spark.range(1).select(*[F.lit(1).alias(c) for c in ("Flow Bytes/s", "a<b>:c", "(x) y ", "plain")])
+    assert {r["column"]: r["safe"] for r in columns.safe_names(df).collect()} == {
+        "Flow Bytes/s": "Flow_Bytes_s", "a<b>:c": "a_b_c", "(x) y ": "x_y", "plain": "plain",
+    }
