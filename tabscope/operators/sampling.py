@@ -86,8 +86,7 @@ def trim_class(
 ) -> DataFrame:
     """Remove the first ``remove`` rows (in random order) of each class listed in ``removals``.
 
-    The others of such a class are picked by their number, in the reverse of that order for a table whose
-    rows may repeat.
+    For a table whose rows may repeat (no ``keys``) the rows that stay are picked by their number instead.
     """
     removals = checkpoint(removals.select(col(label), F.col("remove").cast("long").alias("quota")))
     others = join_on(df, small(removals), [label], "left_anti")
