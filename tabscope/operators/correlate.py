@@ -55,7 +55,7 @@ def correlation_long(
     if missing == "zero":
         numbered = numbered.fillna(0.0)
     names = [f"c{i}" for i in range(len(kept))]
-    vectors = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="skip").transform(numbered.dropna())
+    vectors = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(numbered.dropna())
     matrix = Correlation.corr(vectors.select("v"), "v", "pearson").first()[0].toArray()
     rows = [
         (i, j, a, b, float(matrix[i, j])) for i, a in enumerate(kept) for j, b in enumerate(kept)
