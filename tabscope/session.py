@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +14,12 @@ MAX_GROUP_ROWS = 1_000_000
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder of this machine.
+    Without that setting it is a folder below ``spark.sql.warehouse.dir``, which a cluster shares as well.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tabscope-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
