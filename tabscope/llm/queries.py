@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import minhash
+from tabscope.llm import bpe, minhash
 from tabscope.llm.frames import read
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -36,3 +42,17 @@ def oracle_sql() -> dict[str, str]:
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, minhash.Shape(shingle=4))
+
+
+@query()
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary()
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.encode(docs, ranks, keep_text=False)
+    both = bpe.id_bytes(bpe.decode(tokens, ranks))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("id_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
