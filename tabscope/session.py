@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +39,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and cut its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, wherever they were started."""
+    context = spark.sparkContext
+    if getattr(context, "_tabscope_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tabscope-")  # read by this driver only, which serves the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "tabscope.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._tabscope_shipped = True
