@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.session import scratch_path
+from tabscope.session import scratch_path, ship
 
 BATCH_BYTES = 8 << 20
 
@@ -16,6 +16,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def batched(df: DataFrame) -> DataFrame:
     """``df``, with Arrow batches bounded in bytes, so that long texts do not add up in a Python worker."""
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")

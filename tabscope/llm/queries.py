@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, minhash
-from tabscope.llm.frames import read
+from tabscope.llm import bpe, minhash, perplexity, secrets
+from tabscope.llm.frames import read, stored
 
 def vocabulary() -> str:
     import public_tokenizers
@@ -56,3 +56,25 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("id_bytes", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op4_perplexity_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    measured = stored(perplexity.measure(docs, perplexity.train(docs), keep_text=False), "measured")
+    judged = perplexity.judge(measured, perplexity.bands(measured))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", F.exp("log_perplexity").alias("perplexity"))
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan_secrets(docs).select("doc_id", "secrets")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.listed(F.col("secrets"), secrets.BASE).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
