@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, minhash, perplexity, secrets
+from tabscope.llm import bpe, minhash, perplexity, quality, secrets, warc
 from tabscope.llm.frames import read, stored
+from tabscope.session import scratch_path
 
 def vocabulary() -> str:
     import public_tokenizers
@@ -78,3 +79,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(F.col("secrets"), secrets.BASE).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("secrets")).alias("spans"),
     )
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    archives = warc.write_archives(pages, scratch_path(spark, "warc"))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(archives, payloads=False).select(
+        F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)
+    )
