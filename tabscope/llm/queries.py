@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, minhash, perplexity, quality, secrets, warc
+from tabscope.llm import bpe, merkle, minhash, mixing, perplexity, quality, secrets, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -94,3 +94,17 @@ def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, payloads=False).select(
         F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)
     )
+
+
+@query(merkle.SQL)
+def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query(mixing.sql())
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(read(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"),
+        F.round("probability", 6).alias("probability"), "sampled",
+    )
