@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, merkle, minhash, mixing, perplexity, quality, secrets, warc
+from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, secrets, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -108,3 +108,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"),
         F.round("probability", 6).alias("probability"), "sampled",
     )
+
+
+@query()
+def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
