@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from array import array
@@ -39,7 +40,7 @@ CLASSES = 11
 START, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ON_SPACE, ON_WHITE, ON_QUOTE, ON_R, ON_V, ON_L, ENDED = range(11)
 STATES = 11
 
-CACHE_SLOTS = 400_000
+CACHE_SLOTS = 300_000
 _BLOCK = 256
 
 
@@ -417,16 +418,27 @@ def decode(
     return batched(tokens).mapInArrow(run, with_names(tokens.schema, f"{decoded} binary"))
 
 
-def id_bytes(tokens: DataFrame, ids: str = "ids", out: str = "id_bytes") -> DataFrame:
-    """``tokens`` with the ids as little-endian unsigned 32-bit integers in one binary value."""
+def digests(docs: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` without the text, with ``n_tokens`` and SHA-256 of the ids and of the bytes decoded from them.
+
+    Encodes and decodes in one pass, so that the ids of long texts never leave the worker. The ids are hashed as
+    little-endian unsigned 32-bit integers.
+    """
+    shared = _Shared(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(ids)
-            values = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            offsets = np.concatenate([[0], np.cumsum(np.diff(column.offsets.to_numpy()).astype(np.int64))]) * 4
-            buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(values)]
-            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(column), buffers)
-            yield with_columns(batch, {out: packed})
-
-    return tokens.mapInArrow(run, with_names(tokens.schema, f"{out} binary"))
+        codec = _codec(shared)
+        for part in pieces(batches, text_col, 1 << 21):
+            ids, stops, bounds = codec.encode(*utf8(part.column(text_col)))
+            packed, decoded = ids.astype("<u4").tobytes(), codec.decode(ids).tobytes()
+            sizes = np.where(np.diff(bounds) > 0, stops[np.maximum(bounds[1:] - 1, 0)] if len(stops) else 0, 0)
+            ends = np.cumsum(sizes).tolist()
+            of_ids = [hashlib.sha256(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            of_bytes = [hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip([0, *ends], ends, strict=False)]
+            extra = {
+                "n_tokens": pa.array(np.diff(bounds)), "ids_sha256": pa.array(of_ids), "decoded_sha256": pa.array(of_bytes)
+            }
+            yield with_columns(part, extra, (text_col,))
+
+    kept = [f for f in docs.schema if f.name != text_col]
+    return batched(docs).mapInArrow(run, with_names(kept, "n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -47,16 +47,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = vocabulary()
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, ranks, keep_text=False)
-    both = bpe.id_bytes(bpe.decode(tokens, ranks))
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("id_bytes", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
 
 @query()
