@@ -1,4 +1,79 @@
-"""A corpus pipeline of five stages."""
-STAGES = []
+"""From raw documents to token ids: quality rules, near-duplicates, secrets, mixing, byte-level BPE."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabscope.llm import bpe, minhash, mixing, perplexity, secrets
+from tabscope.llm.frames import read, stored
+from tabscope.llm.queries import vocabulary
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns numbered, so that those an operator adds cannot clash with them."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def _at(docs: DataFrame, name: str) -> str:
+    return f"c{docs.columns.index(name)}"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie in their language's perplexity band; same columns.
+
+    Null and empty texts have no words and go. The model and the bands are made from all of ``docs``.
+    """
+    rows, text, lang = _numbered(docs), _at(docs, "text"), _at(docs, "lang")
+    model = perplexity.train(rows, text)
+    narrow = perplexity.measure(rows.select(text, lang), model, text, keep_text=False)
+    limits = perplexity.bands(narrow, lang)
+    judged = perplexity.judge(perplexity.measure(rows, model, text), limits, lang)
+    return judged.where("kept").select(*rows.columns).toDF(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8); same columns."""
+    return minhash.without_duplicates(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with each secret replaced by a mark and ``n_chars`` as it is then; same columns."""
+    clean = secrets.redact(docs)
+    length = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return clean.withColumn("n_chars", length).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that tokens meet the target shares of source, language and topic; same columns."""
+    rows = _numbered(docs)
+    margins = (_at(docs, "source"), _at(docs, "lang"), "topic")
+    mixed = mixing.mix_documents(rows, margins=margins, id_col=_at(docs, "doc_id"), text_col=_at(docs, "text"))
+    return mixed.where("sampled").select(*rows.columns).toDF(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``source``, ``lang``, ``n_chars``, the number of tokens and their ids for every document."""
+    rows = docs.select("doc_id", "source", "lang", "n_chars", "text")
+    tokens = bpe.encode(rows, vocabulary(), keep_text=False)
+    return tokens.select("doc_id", "source", "lang", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
+
+# The perplexity model, the groups of near-duplicates and the merges have no SQL form.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each result is written and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs
