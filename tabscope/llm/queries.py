@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, secrets, warc
+from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, repeats, secrets, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -104,3 +104,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query()
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
