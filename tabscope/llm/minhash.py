@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.functions.aggregates import small
 from tabscope.llm.arrays import LOWER, U64, Rolling, joined, mix, odd_weights, per_text, pieces, utf8, with_columns, words
 from tabscope.llm.frames import batched, stored, with_names
 from tabscope.llm.graph import components
@@ -110,21 +111,23 @@ def _digests(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _described(text_col: str, shape: Shape, sets: bool):
+def _described(text_col: str, shape: Shape, give: str, keep_text: bool = False):
+    """Size and digest of each text's set, and its ``bands``, its ``set`` or neither (``digest``)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, text_col):
             values, bounds = shingle_sets(*utf8(part.column(text_col)), shape.shingle)
             digest = pa.array([d.tobytes() for d in _digests(values, bounds)], pa.binary())
             extra = {"__n": pa.array(np.diff(bounds)), "__node": digest}
-            if sets:
+            if give == "set":
                 extra["__set"] = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
-            else:
+            elif give == "bands":
                 signature, rows = signatures(values, bounds, shape.bands * shape.rows)
                 ends = np.zeros(len(bounds), np.int64)
                 np.cumsum(np.where(np.diff(bounds) > 0, shape.bands, 0), out=ends[1:])
                 keys = band_keys(signature, shape.bands, shape.rows).ravel()
                 extra["__bands"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))
-            yield with_columns(part, extra, (text_col,))
+            yield with_columns(part, extra, () if keep_text else (text_col,))
 
     return run
 
@@ -141,27 +144,83 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def near_duplicates(
-    docs: DataFrame, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Id, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
+def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
+    labels = labels.withColumnRenamed("node", "__node")
+    return members.join(labels, "__node", "left").withColumn("label", F.coalesce("label", "__node"))
 
-    Words are split at ASCII white space and A-Z lower-cased. A text with fewer words than a shingle has them as
-    its only shingle; null, empty and blank texts have none and are linked with nothing. Two rows are linked when
-    their sets share ``percent`` of their union, ``component_id`` is the smallest id reachable over links, and the
-    row with that id is kept. Rows with equal sets are one node, so copies cost nothing beyond their own row.
-    Repeated ids are separate rows. A null id is never a ``component_id``: such a row is kept only if no row with
-    an id is linked with it. An empty table gives an empty table.
 
-    In each bucket the member in the largest buckets overall (the most typical one) becomes the centre of a star;
-    every other member is compared with it. Buckets which then still hold several components get further
-    centres, four times as many a round, until no two of their members are both uncompared and unconnected.
-    So candidates grow with the bucket, and no link is lost in a bucket.
+def _prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Buckets (``key``, ``__node``, ``__n``, ``weight``, ``indexed``) by shared rare shingles.
+
+    With all shingles in one order, rarest first, two linked sets meet in the first n - ceil(p n) + 1 shingles of
+    the larger and, as its overlap must reach 2 p / (1 + p) of the mean size, in the first
+    n - ceil(2 p n / (1 + p)) + 1 of the smaller: its ``indexed`` part. So no link escapes, and copies with edits of
+    their own, which have those edits in front, meet nobody.
+    """
+    shingles = sets.join(nodes, "__node").select("__node", "__n", "weight", F.explode("__set").alias("key"))
+    counts = shingles.groupBy("key").agg(F.count(F.lit(1)).alias("holders"))
+    shingles = shingles.join(counts, "key")
+    ranked = shingles.groupBy("__node", "__n", "weight").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("ranked")
+    )
+    # Integer arithmetic: n - ceil(x / y) + 1 = n + 1 + floor(-x / y)
+    length = F.expr(f"CAST(__n + 1 + floor(-{percent} * __n / 100) AS INT)")
+    rare = ranked.select("__node", "__n", "weight", F.posexplode(F.slice("ranked", F.lit(1), length)).alias("at", "s"))
+    indexed = F.expr(f"at < __n + 1 + floor(-{2 * percent} * __n / {100 + percent})")
+    rare = rare.where("s.holders > 1").select(F.col("s.key").alias("key"), "__node", "__n", "weight", indexed.alias("indexed"))
+    return rare.join(rare.where("indexed").select("key").distinct(), "key", "left_semi")
+
+
+def _closed(members: DataFrame, labels: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after all links within the buckets of ``members``.
+
+    Each bucket that holds several components gets centres, eight times as many a round, among its indexed members,
+    each compared with the members outside its component, until all have been centres or one component is left.
+    Two members that are only in the longer part of the order need no comparison in this bucket.
     """
-    ids = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    members = stored(members, "rare")
+    used = members.select("key", "__node").limit(0)
+    centres = 8
+    while True:
+        here = _with_labels(members, labels)
+        fresh = here.where("indexed").join(used, ["key", "__node"], "left_anti")
+        parts = here.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        open_keys = fresh.select("key").distinct().join(parts, "key", "left_semi")
+        here = stored(here.join(open_keys, "key", "left_semi"), "open")
+        if here.isEmpty():
+            return labels
+        fresh = here.where("indexed").join(used, ["key", "__node"], "left_anti")
+        place = "row_number() OVER (PARTITION BY key ORDER BY weight DESC, __node DESC) AS place"
+        chosen = stored(fresh.selectExpr("*", place).where(F.col("place") <= centres).drop("place"), "centres")
+        now = chosen.selectExpr("key", "__node AS centre", "label AS centre_label", "__n AS centre_n")
+        new = here.join(now, "key").where("label <> centre_label")
+        new = new.where("indexed OR struct(centre_n, centre) < struct(__n, __node)")
+        new = new.select(F.least("centre", "__node").alias("a"), F.greatest("centre", "__node").alias("b")).distinct()
+        new = stored(new.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = stored(_confirmed(new, sets, percent), "links")
+        if not found.isEmpty():
+            ends = _with_labels(found.withColumnRenamed("a", "__node"), labels).withColumnRenamed("label", "u")
+            ends = _with_labels(ends.drop("__node").withColumnRenamed("b", "__node"), labels)
+            merged = components(ends.select(F.col("u").alias("a"), F.col("label").alias("b")))
+            everyone = found.select(F.explode(F.array("a", "b")).alias("node")).unionAll(labels.select("node")).distinct()
+            everyone = _with_labels(everyone.withColumnRenamed("node", "__node"), labels)
+            to = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+            labels = stored(
+                everyone.join(to, "label", "left").select(
+                    F.col("__node").alias("node"), F.coalesce("to", "label").alias("label")
+                ),
+                "labels",
+            )
+        tested = tested.unionAll(new)
+        used = used.unionAll(chosen.select("key", "__node"))
+        centres *= 8
+
+
+def _components(ids: DataFrame, shape: Shape) -> DataFrame:
+    """``__id``, ``__n``, ``__node``, ``component`` and the group's ``label`` for every row of ``ids`` (``__id``, ``__text``)."""
     kind = ids.schema["__id"].dataType.simpleString()
     out = with_names([], f"__id {kind}, __n long, __node binary, __bands array<long>")
-    rows = stored(batched(ids).mapInArrow(_described("__text", shape, False), out), "signatures")
+    rows = stored(batched(ids).mapInArrow(_described("__text", shape, "bands"), out), "signatures")
     nodes = rows.where("__n > 0").groupBy("__node").agg(F.first("__bands").alias("__bands"))
     members = nodes.select("__node", F.explode("__bands").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -173,10 +232,10 @@ def near_duplicates(
     set_out = with_names([], f"__id {kind}, __n long, __node binary, __set array<long>")
     first = rows.join(wanted, "__node", "left_semi").groupBy("__node").agg(F.min("__id").alias("__id"))
     texts = ids.join(first.select("__id").distinct(), "__id", "left_semi")
-    sets = batched(texts).mapInArrow(_described("__text", shape, True), set_out)
+    sets = batched(texts).mapInArrow(_described("__text", shape, "set"), set_out)
     orphans = first.where("__id IS NULL")
     if not orphans.isEmpty():
-        bare = batched(ids.where("__id IS NULL")).mapInArrow(_described("__text", shape, True), set_out)
+        bare = batched(ids.where("__id IS NULL")).mapInArrow(_described("__text", shape, "set"), set_out)
         sets = sets.unionAll(bare)
     sets = sets.join(wanted, "__node", "left_semi").groupBy("__node", "__n").agg(F.first("__set").alias("__set"))
     sets = stored(sets, "sets")
@@ -188,44 +247,81 @@ def near_duplicates(
     tested = stored(tested, "pairs")
     links = stored(_confirmed(tested, sets, shape.percent), "links")
     labels = components(links)
-    used = stored(stars.select("key", F.col("centre").alias("__node")), "centres")
-    centres = 4
-    while True:
-        here = members.join(labels.withColumnRenamed("node", "__node"), "__node", "left").select(
-            "key", "__node", "weight", F.coalesce("label", "__node").alias("label")
-        )
-        # A bucket is open while members that never were its centre lie in different components.
-        fresh = here.join(used, ["key", "__node"], "left_anti")
-        parts = fresh.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        open_keys = stored(parts.where("low <> high").select("key"), "open")
-        if open_keys.isEmpty():
-            break
-        here = stored(here.join(open_keys, "key", "left_semi"), "open-members")
-        place = "row_number() OVER (PARTITION BY key ORDER BY weight DESC, __node DESC) AS place"
-        fresh = here.join(used, ["key", "__node"], "left_anti")
-        chosen = stored(fresh.selectExpr("*", place).where(F.col("place") <= centres).drop("place"), "centres")
-        now = chosen.select("key", F.col("__node").alias("centre"), F.col("label").alias("centre_label"))
-        new = here.join(now, "key").where("label <> centre_label").select(*pair).distinct()
-        new = stored(new.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = stored(_confirmed(new, sets, shape.percent), "links")
-        if not found.isEmpty():
-            links = links.unionAll(found)
-            labels = components(links)
-        tested = tested.unionAll(new)
-        used = used.unionAll(chosen.select("key", "__node"))
-        centres *= 4
+    labelled = _with_labels(members, labels).join(stars, "key").where("centre <> __node")
+    parts = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_keys = parts.where("low <> high").select("key")
+    rest = labelled.join(open_keys, "key", "left_semi").groupBy("__node").agg(F.first("weight").alias("weight"))
+    rest = stored(rest, "open")
+    if not rest.isEmpty():
+        labels = _closed(_prefixes(sets, rest, shape.percent), labels, tested, sets, shape.percent)
 
     labels = labels.withColumnRenamed("node", "__node")
     of_node = rows.where("__n > 0").groupBy("__node").agg(F.min("__id").alias("low"))
     of_node = of_node.join(labels, "__node", "left").withColumn("label", F.coalesce("label", "__node"))
     lowest = of_node.groupBy("label").agg(F.min("low").alias("component"))
-    of_node = of_node.join(lowest, "label").select("__node", "component")
+    of_node = of_node.join(lowest, "label").select("__node", "component", "label")
     grouped = rows.where("__n > 0").join(of_node, "__node")
-    alone = rows.where("__n = 0").withColumn("component", F.col("__id"))
-    both = grouped.select("__id", "__n", "component").unionAll(alone.select("__id", "__n", "component"))
-    return both.select(
+    alone = rows.where("__n = 0").withColumn("component", F.col("__id")).withColumn("label", F.col("__node"))
+    columns = ("__id", "__n", "__node", "component", "label")
+    return grouped.select(*columns).unionAll(alone.select(*columns))
+
+
+def _kept() -> Column:
+    return F.coalesce(F.col("__id") == F.col("component"), F.col("component").isNull())
+
+
+def near_duplicates(
+    docs: DataFrame, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Id, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
+
+    Words are split at ASCII white space and A-Z lower-cased. A text with fewer words than a shingle has them as
+    its only shingle; null, empty and blank texts have none and are linked with nothing. Two rows are linked when
+    their sets share ``percent`` of their union, ``component_id`` is the smallest id reachable over links, and the
+    row with that id is kept. Rows with equal sets are one node, so copies cost nothing beyond their own row.
+    Repeated ids are separate rows. A null id is never a ``component_id``: such a row is kept only if no row with
+    an id is linked with it. An empty table gives an empty table.
+
+    In each bucket the member in the largest buckets overall (the most typical one) becomes the centre of a star;
+    every other member is compared with it, so pairs grow with the bucket. Members of buckets that then still
+    hold several components are compared once more through their rarest shingles, which loses no link.
+    """
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    return _components(rows, shape).select(
         F.col("__id").alias(id_col),
         F.col("__n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        F.coalesce(F.col("__id") == F.col("component"), F.col("component").isNull()).alias("kept"),
+        _kept().alias("kept"),
     )
+
+
+def without_duplicates(
+    docs: DataFrame, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, one of each group, with all columns.
+
+    Rows are named by id and set, so that of rows with the same id only those in another group go. Several rows of
+    one group with the smallest id are one document: one of them stays. Rows without an id that are linked
+    with none that has one all stay. The rows that go are narrow, and broadcast while they are few; the texts
+    move only when they are many.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_at, text_at = (f"c{names.index(c)}" for c in (id_col, text_col))
+    ids = plain.select(F.col(id_at).alias("__id"), F.col(text_at).alias("__text"))
+    decided = stored(_components(ids, shape).withColumn("kept", _kept()), "decided")
+    gone = decided.where("NOT kept").select("__id", "__node").distinct()
+    gone = stored(gone.withColumnsRenamed({"__id": "g_id", "__node": "g_node"}), "gone")
+    schema = with_names(plain.schema, "__n long, __node binary")
+    rows = batched(plain).mapInArrow(_described(text_at, shape, "digest", keep_text=True), schema)
+    left = rows.join(small(gone), rows[id_at].eqNullSafe(gone["g_id"]) & (rows["__node"] == gone["g_node"]), "left_anti")
+    same = decided.where("kept AND __n > 0 AND __id IS NOT NULL").groupBy("__id", "label")
+    same = same.agg(F.count(F.lit(1)).alias("n"), F.min("__node").alias("first")).where("n > 1").drop("n")
+    twice = decided.join(same, ["__id", "label"]).selectExpr("__id AS t_id", "__node AS t_node", "__node = first AS stays")
+    twice = stored(twice.distinct(), "twice")
+    if not twice.isEmpty():
+        meets = (left[id_at] == twice["t_id"]) & (left["__node"] == twice["t_node"])
+        place = f"row_number() OVER (PARTITION BY t_id, t_node ORDER BY xxhash64({text_at}), {text_at}) AS place"
+        one = left.join(small(twice.where("stays")), meets).selectExpr("*", place).where("place = 1")
+        left = left.join(small(twice), meets, "left_anti").unionAll(one.select(*left.columns))
+    return left.drop("__n", "__node").toDF(*names)

@@ -109,7 +109,7 @@ def write_archive(path: str, records: list[bytes], level: int = 3) -> None:
     compressor = zstandard.ZstdCompressor(level=level, dict_data=_as_dictionary(raw))
     system, at = _place(path)
     system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(at) as out:
+    with system.open_output_stream(at, compression=None) as out:
         out.write(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
         for one in records:
             out.write(compressor.compress(one))
@@ -118,7 +118,7 @@ def write_archive(path: str, records: list[bytes], level: int = 3) -> None:
 def read_archive(path: str) -> Iterator[dict]:
     """The records of an archive one by one; only the current record and a small buffer are in memory."""
     system, at = _place(path)
-    with system.open_input_stream(at) as source:
+    with system.open_input_stream(at, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != DICTIONARY_MAGIC:
             raise ValueError("the archive does not start with a dictionary")
