@@ -116,6 +116,19 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_matrix(ruled(spark, sf_dir), "l_returnflag", "said")
 
 
+@query(f"""
+WITH {RULED}, holes AS (SELECT nullif(l_returnflag, 'A') AS actual, nullif(said, 'N') AS predicted FROM ruled),
+classes AS (SELECT actual AS c FROM holes UNION SELECT predicted FROM holes)
+SELECT a.c AS actual, b.c AS predicted,
+  (SELECT count(*) FROM holes h WHERE h.actual IS NOT DISTINCT FROM a.c AND h.predicted IS NOT DISTINCT FROM b.c) AS count
+FROM classes a, classes b""")
+def confusion_matrix_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    holes = ruled(spark, sf_dir).select(
+        F.nullif("l_returnflag", F.lit("A")).alias("actual"), F.nullif("said", F.lit("N")).alias("predicted")
+    )
+    return evaluate.confusion_matrix(holes, "actual", "predicted")
+
+
 @query(f"WITH {RULED}, {_report('ruled', 'l_returnflag', 'said')} SELECT {ROUNDED_REPORT} FROM report")
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     confusion = evaluate.confusion_matrix(ruled(spark, sf_dir), "l_returnflag", "said")
@@ -217,7 +230,7 @@ def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT substr(o_orderpriority, 1, 15) AS class, count(*) AS count,
+SELECT o_orderpriority AS class, count(*) AS count,
   round(count(*) / sum(count(*)) OVER () * 100, 6) + 0.0 AS percentage FROM orders GROUP BY o_orderpriority""")
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.class_distribution(table(spark, sf_dir, "orders"), "o_orderpriority"), 6, "percentage")
@@ -267,34 +280,34 @@ def embedded(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, D
 @query()
 def svm_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, width = embedded(spark, sf_dir, "binary")
-    return models.evaluate_svm(train, test, "y", "features", 2, width, iterations=20)
+    return models.evaluate_svm(train, test, "y", "features", 2, width)
 
 
 @query()
 def svm_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, width = embedded(spark, sf_dir, "multiclass")
-    return models.evaluate_svm(train, test, "y", "features", 10, width, dimensions=128, iterations=10)
+    return models.evaluate_svm(train, test, "y", "features", 10, width)
 
 
 @query()
 def mlp_binary_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, width = embedded(spark, sf_dir, "binary")
-    return models.cross_validate_perceptron(train, "y", "features", ["vec_id"], 2, width, iterations=20)
+    return models.cross_validate_perceptron(train, "y", "features", ["vec_id"], 2, width)
 
 
 @query()
 def mlp_multiclass_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, width = embedded(spark, sf_dir, "multiclass")
-    return models.cross_validate_perceptron(train, "y", "features", ["vec_id"], 10, width, iterations=20)
+    return models.cross_validate_perceptron(train, "y", "features", ["vec_id"], 10, width)
 
 
 @query()
 def mlp_binary_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, width = embedded(spark, sf_dir, "binary")
-    return models.evaluate_perceptron(train, test, "y", "features", 2, width, iterations=20)
+    return models.evaluate_perceptron(train, test, "y", "features", 2, width)
 
 
 @query()
 def mlp_multiclass_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, width = embedded(spark, sf_dir, "multiclass")
-    return models.evaluate_perceptron(train, test, "y", "features", 10, width, iterations=20)
+    return models.evaluate_perceptron(train, test, "y", "features", 10, width)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalog.views import BASIC, GAPS, LI, NUMERIC, gaps, li, long_sql, registrar, rounded, table
 from tabscope.operators import profile
@@ -177,3 +178,13 @@ def class_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.class_moments(li(spark, sf_dir), NUMERIC, "label"), 4, "mean", "std")
 
 
+
+
+@query("""
+WITH t AS (SELECT l_shipdate, l_quantity > 25 AS large FROM lineitem)
+SELECT 'l_shipdate' AS feature, count(l_shipdate) AS count, count(*) - count(l_shipdate) AS null_count,
+  strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS min_text, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS max_text FROM t
+UNION ALL SELECT 'large', count(large), count(*) - count(large), min(large)::VARCHAR, max(large)::VARCHAR FROM t""")
+def describe_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_shipdate", (F.col("l_quantity") > 25).alias("large"))
+    return profile.describe(rows).select("feature", "count", "null_count", "min_text", "max_text")

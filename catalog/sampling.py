@@ -244,7 +244,7 @@ def scaled_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def kmeans_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, features = emb(spark, sf_dir)
-    sample = cluster_sampling.kmeans_sample(rows, ["label"], features, ["vec_id"], 100, inits=2)
+    sample = cluster_sampling.kmeans_sample(rows, ["label"], features, ["vec_id"], 100)
     return sample.select("vec_id", "label")
 
 
@@ -252,3 +252,15 @@ def kmeans_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def density_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = [c for c in NUMERIC if c != "konst"]
     return cluster_sampling.density_sample(li(spark, sf_dir), ["label", "l_linestatus"], features, KEYS, 1000)
+
+
+@query("""
+WITH m AS (SELECT l_returnflag, l_linestatus, avg(l_quantity) AS mq, avg(l_discount) AS md FROM lineitem GROUP BY ALL),
+d AS (SELECT l.*, round((l_quantity - mq) * (l_quantity - mq) + (l_discount - md) * (l_discount - md), 9) AS d
+  FROM lineitem l JOIN m USING (l_returnflag, l_linestatus)),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus
+  ORDER BY d, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS place FROM d)
+SELECT l_returnflag, l_linestatus, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM r WHERE place = 1""")
+def nearest_to_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lineitem(spark, sf_dir)
+    return cluster_sampling.nearest_to_centre(rows, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"], KEYS)

@@ -375,3 +375,90 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def pca_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.pca_summary(pca_variance(spark, sf_dir), 8, 5)
+
+
+EDGES = f"""{LI}, edges AS (
+  SELECT CASE label WHEN 'Benign' THEN 0 ELSE 1 END AS y, CASE label WHEN 'Benign' THEN 0 ELSE 1 END::DOUBLE AS twin,
+    CASE label WHEN 'Benign' THEN 5 ELSE -5 END::DOUBLE AS mirror, 3.0::DOUBLE AS steady FROM li)"""
+
+
+# A feature that is the label, one that is its opposite (both constant on each side) and one that never varies.
+@query(f"""
+WITH {EDGES}
+SELECT 'twin' AS feature, round(corr(twin, y), 4) + 0.0 AS point_biserial_corr, 0.0::DOUBLE AS corr_p_value, 0.0::DOUBLE AS t_test_p_value FROM edges
+UNION ALL SELECT 'mirror', round(corr(mirror, y), 4) + 0.0, 0.0, 0.0 FROM edges
+UNION ALL SELECT 'steady', NULL, NULL, NULL""")
+def association_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = F.when(F.col("label") == "Benign", 0).otherwise(1)
+    edges = li(spark, sf_dir).select(
+        "label", y.cast("double").alias("twin"), (5.0 - 10.0 * y).alias("mirror"), F.lit(3.0).alias("steady")
+    )
+    found = association.feature_label_association(edges, ["twin", "mirror", "steady"], "label")
+    names = ["point_biserial_corr", "corr_p_value", "t_test_p_value"]
+    return rounded(found.select("feature", *names), 6, *names)
+
+
+HOLED = ["quantity", "tax", "price"]
+HOLES = """holes AS (SELECT CASE WHEN l_linenumber <> 1 THEN l_quantity END AS quantity,
+  CASE WHEN l_linenumber <> 2 THEN l_tax END AS tax, l_extendedprice AS price FROM lineitem)"""
+
+
+def holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(n != 1, F.col("l_quantity")).alias("quantity"), F.when(n != 2, F.col("l_tax")).alias("tax"),
+        F.col("l_extendedprice").alias("price"), "l_linenumber",
+    )
+
+
+@query(f"""
+WITH {HOLES}, complete AS (SELECT * FROM holes WHERE quantity IS NOT NULL AND tax IS NOT NULL), {_matrix("complete", HOLED)}
+SELECT * REPLACE (round(r, 6) + 0.0 AS r) FROM matrix""")
+def correlation_gaps_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(correlate.correlation_long(holes(spark, sf_dir), HOLED), 6, "r")
+
+
+@query(f"""
+WITH {HOLES}, complete AS (SELECT coalesce(quantity, 0) AS quantity, coalesce(tax, 0) AS tax, price FROM holes), {_matrix("complete", HOLED)}
+SELECT * REPLACE (round(r, 6) + 0.0 AS r) FROM matrix""")
+def correlation_gaps_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(correlate.correlation_long(holes(spark, sf_dir), HOLED, missing="zero"), 6, "r")
+
+
+# No row is complete, so no r is defined.
+@query("""
+SELECT a.f AS feature1, b.f AS feature2, a.p AS position1, b.p AS position2, NULL::DOUBLE AS r
+FROM (SELECT unnest(['quantity', 'tax']) AS f, unnest([0, 1]) AS p) a, (SELECT unnest(['quantity', 'tax']) AS f, unnest([0, 1]) AS p) b
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def correlation_without_complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity")).alias("quantity"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.col("l_tax")).alias("tax"),
+    )
+    return correlate.correlation_long(apart, ["quantity", "tax"])
+
+
+REDUCED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _power_sums(dataset: str, names: list[str]) -> str:
+    of = ", ".join(f"'{n}'" for n in names)
+    return f"""SELECT '{dataset}' AS dataset, {len(names)}::BIGINT AS components, 1.0::DOUBLE * {len(names)} AS first,
+  (SELECT sum(r * r) FROM matrix WHERE feature1 IN ({of}) AND feature2 IN ({of})) AS second,
+  (SELECT sum(a.r * b.r * c.r) FROM matrix a JOIN matrix b ON a.feature2 = b.feature1
+    JOIN matrix c ON b.feature2 = c.feature1 AND c.feature2 = a.feature1
+    WHERE a.feature1 IN ({of}) AND a.feature2 IN ({of}) AND b.feature2 IN ({of})) AS third"""
+
+
+# The eigenvalues of a correlation matrix R are fixed by the traces of R, R^2, ...: here the first three.
+@query(f"""
+WITH {LI}, {_matrix("li", [*REDUCED, "disc_price", "charge"])},
+sums AS ({_power_sums("original", [*REDUCED, "disc_price", "charge"])} UNION ALL {_power_sums("reduced", REDUCED)})
+SELECT dataset, components, round(first, 6) + 0.0 AS first, round(second, 6) + 0.0 AS second, round(third, 6) + 0.0 AS third FROM sums""")
+def pca_power_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reduce.pca_variance(li(spark, sf_dir), [*REDUCED, "disc_price", "charge"], REDUCED)
+    counted = found.groupBy("dataset").agg(F.count("component").alias("components"), F.collect_list("explained").alias("shares"))
+    eigen = F.transform("shares", lambda x: x * F.col("components"))
+    power = lambda k: F.aggregate(eigen, F.lit(0.0), lambda s, x: s + F.pow(x, F.lit(float(k))))
+    sums = counted.select("dataset", "components", power(1).alias("first"), power(2).alias("second"), power(3).alias("third"))
+    return rounded(sums, 6, "first", "second", "third")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tabscope.session import ship
+
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function, evaluated by Lentz's method."""
@@ -30,19 +32,30 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     return h
 
 
+def _gamma_step(a: float) -> float:
+    """lgamma(a + 1/2) - lgamma(a), by Stirling's series after shifting ``a`` up, without cancellation."""
+    shift = 0.0
+    while a < 20.0:
+        shift += math.log(a) - math.log(a + 0.5)
+        a += 1.0
+
+    def tail(z: float) -> float:
+        return 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7)
+
+    return shift + a * math.log1p(0.5 / a) - 0.5 + 0.5 * math.log(a) + tail(a + 0.5) - tail(a)
+
+
 def two_sided_p(t: float, df: float) -> float:
     """P(|T| >= |t|) with ``df`` degrees of freedom; NaN when undefined."""
     if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
         return math.nan
     if math.isinf(t):
         return 0.0
-    if df > 1e7:
-        return math.erfc(abs(t) / math.sqrt(2.0))
     a, b, x, y = df / 2.0, 0.5, df / (df + t * t), t * t / (df + t * t)
     if x <= 0.0 or y <= 0.0:
         return 0.0 if x <= 0.0 else 1.0
-    log_beta = math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
-    front = math.exp(a * math.log(x) + b * math.log(y) - log_beta)
+    log_beta = math.lgamma(b) - _gamma_step(a)
+    front = math.exp(-a * math.log1p(t * t / df) + b * math.log(y) - log_beta)
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _beta_fraction(a, b, x) / a
     return 1.0 - front * _beta_fraction(b, a, y) / b
@@ -53,4 +66,5 @@ def _p_values(t: pd.Series, df: pd.Series) -> pd.Series:
 
 
 def t_pvalue(t: Column, df: Column) -> Column:
+    ship(SparkSession.active())
     return F.pandas_udf(_p_values, "double")(t, df)

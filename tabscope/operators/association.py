@@ -45,6 +45,12 @@ def label_moments(
     return moments.where((F.col("n") >= MIN_VALID_ROWS) & (F.col("n0") > 0) & (F.col("n1") > 0))
 
 
+def _over(numerator: Column, denominator: Column) -> Column:
+    """The quotient; infinite where only the denominator is 0, null for 0 / 0."""
+    infinite = F.when(numerator != 0, F.signum(numerator) * F.lit(float("inf")))
+    return F.when(denominator == 0, infinite).otherwise(numerator / denominator)
+
+
 def feature_label_association(
     df: DataFrame, features: Sequence[str], label: str, negative: str | int = "Benign",
     positive: str | int = "Malicious", pvalues: bool = True,
@@ -61,12 +67,15 @@ def feature_label_association(
         F.try_divide((c["n0"] - 1) * c["pop_var0"] + (c["n1"] - 1) * c["pop_var1"], c["n0"] + c["n1"] - 2)
     )
     error0, error1 = c["var0"] / c["n0"], c["var1"] / c["n1"]
-    welch_t = F.try_divide(c["mean0"] - c["mean1"], F.sqrt(error0 + error1))
-    welch_df = F.try_divide(
+    welch_t = _over(c["mean0"] - c["mean1"], F.sqrt(error0 + error1))
+    # Two constant sides have no spread to take degrees of freedom from; any number gives their infinite t p = 0.
+    welch_df = F.when(error0 + error1 == 0, (c["n"] - 2).cast("double")).otherwise(F.try_divide(
         F.pow(error0 + error1, F.lit(2)),
         F.try_divide(F.pow(error0, F.lit(2)), c["n0"] - 1) + F.try_divide(F.pow(error1, F.lit(2)), c["n1"] - 1),
-    )
-    corr_t = F.col("_r") * F.sqrt(F.try_divide(c["n"] - 2, F.greatest(1 - F.pow("_r", F.lit(2)), F.lit(0.0))))
+    ))
+    # r may pass 1 by rounding; what is left below 1e-15 is none.
+    rest = 1 - F.pow("_r", F.lit(2))
+    corr_t = _over(F.col("_r") * F.sqrt(c["n"] - 2), F.sqrt(F.when(rest > 1e-15, rest).otherwise(0.0)))
     moments = label_moments(df, features, label, negative, positive).withColumn("_r", r)
     result = moments.select(
         "feature",

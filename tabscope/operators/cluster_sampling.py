@@ -18,7 +18,7 @@ from tabscope.operators.components import connected_components
 from tabscope.operators.models import for_training
 from tabscope.operators.profile import category_counts
 from tabscope.operators.ranking import pick
-from tabscope.operators.sampling import LARGE_GROUP_ROWS, PRESAMPLE_ROWS, presample_large_groups, top_up_rare_classes
+from tabscope.operators.sampling import top_up_rare_classes
 from tabscope.session import MAX_GROUP_ROWS, checkpoint, scratch_path
 
 # Fixed values.
@@ -28,8 +28,6 @@ MAX_MIN_CLUSTER_ROWS = 50
 
 # One model is trained per stratum, so strata must be few: classes, not values.
 MAX_STRATA = 1000
-# Above this number of clusters the k-means|| seeding, which finishes on the driver, gives way to random seeds.
-MAX_PARALLEL_SEEDS = 1000
 MODELS_AT_ONCE = 4
 
 
@@ -55,6 +53,27 @@ def scaled_in_stratum(df: DataFrame, strata: Sequence[str], features: Sequence[s
     return joined.withColumn("_x", scores).select(*[col(c) for c in df.columns], "_x")
 
 
+def nearest_to_centre(
+    df: DataFrame, groups: Sequence[str], features: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """(groups..., keys...) of the row nearest to the mean of every group; ties go to the smallest keys.
+
+    Gaps count as 0. The means are one row per group, combined before they are moved, and so are the nearest rows.
+    """
+    values = {f"_f{i}": fill_zero(col(c)) for i, c in enumerate(features)}
+    filled = df.withColumns(values)
+    centres = filled.groupBy(*[col(g) for g in groups]).agg(*[F.avg(n).alias(f"_m{n}") for n in values])
+    squares = [(F.col(n) - F.col(f"_m{n}")) * (F.col(n) - F.col(f"_m{n}")) for n in values]
+    distance = squares[0]
+    for square in squares[1:]:
+        distance = distance + square
+    # Rounded, so that the order of additions does not decide between equal distances.
+    measured = join_on(filled, small(checkpoint(centres)), groups).withColumn("_d", F.round(distance, 9))
+    first = F.min(F.struct("_d", *[col(k) for k in keys])).alias("_first")
+    found = measured.groupBy(*[col(g) for g in groups]).agg(first)
+    return found.select(*[col(g) for g in groups], *[F.col(f"_first.{k}").alias(k) for k in keys])
+
+
 def _medoids(rows: DataFrame, target: int, keys: Sequence[str], seed: int, inits: int, iterations: int) -> DataFrame:
     """Keys of the row nearest to the centre of every non-empty cluster of one stratum."""
     names = [f"_k{i}" for i in range(len(keys))]
@@ -64,9 +83,8 @@ def _medoids(rows: DataFrame, target: int, keys: Sequence[str], seed: int, inits
         distance = F.aggregate("_x", F.lit(0.0), lambda s, x: s + x * x)
         nearest = points.withColumn("prediction", F.lit(0)).withColumn("_d", distance)
     else:
-        mode = "k-means||" if target <= MAX_PARALLEL_SEEDS else "random"
         models = [
-            KMeans(k=target, featuresCol="_v", initMode=mode, seed=seed + i, maxIter=iterations).fit(points)
+            KMeans(k=target, featuresCol="_v", initMode="k-means||", seed=seed + i, maxIter=iterations).fit(points)
             for i in range(inits)
         ]
         best = min(models, key=lambda m: m.summary.trainingCost)
@@ -86,12 +104,12 @@ def _medoids(rows: DataFrame, target: int, keys: Sequence[str], seed: int, inits
 def kmeans_sample(
     df: DataFrame, strata: Sequence[str], features: Sequence[str], keys: Sequence[str],
     sample_size: int = CLUSTER_SAMPLE_SIZE, seed: int = 42, inits: int = 10, iterations: int = 20,
-    large: int = LARGE_GROUP_ROWS, presample: int = PRESAMPLE_ROWS, top_up: str | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    top_up: str | None = None,
 ) -> DataFrame:
     """One row for each of ``target`` clusters of every stratum: the row nearest to the cluster's centre.
 
-    Strata above ``large`` rows are pre-sampled first. The best of ``inits`` seeds by training cost counts.
+    All rows take part; ``presample_large_groups`` is there for callers that want fewer. The best of ``inits``
+    seeds by training cost counts.
     """
     spark = df.sparkSession
     targets = cluster_targets(df, strata, sample_size).limit(MAX_STRATA + 1).collect()
@@ -101,8 +119,9 @@ def kmeans_sample(
     types = sorted(types, key=lambda f: list(strata).index(f.name)) + [T.StructField("_stratum", T.IntegerType())]
     numbers = spark.createDataFrame([(*[r[s] for s in strata], i) for i, r in enumerate(targets)], T.StructType(types))
 
-    pool = checkpoint(presample_large_groups(df, strata, keys, large, presample, seed, max_group_rows))
-    scored = join_on(scaled_in_stratum(pool, strata, features), small(numbers, MAX_STRATA), strata)
+    if not targets:
+        return df
+    scored = join_on(scaled_in_stratum(df, strata, features), small(numbers, MAX_STRATA), strata)
     names = [f"_e{i}" for i in range(len(features))]
     spread = scored.select(*[col(k) for k in keys], "_stratum", "_x", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(spread).drop(*names)
@@ -119,7 +138,7 @@ def kmeans_sample(
     chosen = parts[0]
     for part in parts[1:]:
         chosen = chosen.unionByName(part)
-    sample = checkpoint(join_on(pool, chosen, keys, "left_semi"))
+    sample = checkpoint(join_on(df, chosen, keys, "left_semi"))
     return sample if top_up is None else top_up_rare_classes(df, sample, top_up, keys, seed)
 
 
@@ -186,7 +205,7 @@ def density_clusters(
     kept = assigned.select(*stratum, "_cell", F.col("component").alias("cluster")).join(
         large.select("cluster"), "cluster", "left_semi"
     )
-    return join_on(placed, kept, [*strata, "_cell"], "left").select(*stratum, *key, "cluster")
+    return join_on(placed, small(checkpoint(kept)), [*strata, "_cell"], "left").select(*stratum, *key, "cluster")
 
 
 def density_quotas(clusters: DataFrame, targets: DataFrame, strata: Sequence[str]) -> DataFrame:
@@ -213,15 +232,16 @@ def density_quotas(clusters: DataFrame, targets: DataFrame, strata: Sequence[str
 def density_sample(
     df: DataFrame, strata: Sequence[str], features: Sequence[str], keys: Sequence[str],
     sample_size: int = CLUSTER_SAMPLE_SIZE, seed: int = 42, dimensions: int = 3,
-    large: int = LARGE_GROUP_ROWS, presample: int = PRESAMPLE_ROWS, top_up: str | None = None,
+    top_up: str | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Sample every stratum in proportion to its density clusters; noise fills up what is missing."""
     targets = cluster_targets(df, strata, sample_size)
-    pool = checkpoint(presample_large_groups(df, strata, keys, large, presample, seed, max_group_rows))
-    clusters = checkpoint(density_clusters(scaled_in_stratum(pool, strata, features), strata, keys, dimensions))
+    if df.isEmpty():
+        return df
+    clusters = checkpoint(density_clusters(scaled_in_stratum(df, strata, features), strata, keys, dimensions))
     quotas = density_quotas(clusters, targets, strata)
-    labelled = join_on(pool, clusters.select(*[col(k) for k in keys], "cluster"), keys)
+    labelled = join_on(df, clusters.select(*[col(k) for k in keys], "cluster"), keys)
     sample = pick(labelled, [*strata, "cluster"], quotas, keys, seed, max_group_rows)
     sample = checkpoint(sample.select(*[col(c) for c in df.columns]))
     return sample if top_up is None else top_up_rare_classes(df, sample, top_up, keys, seed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,10 +64,15 @@ def dictionary(df: DataFrame, column: str) -> DataFrame:
     The ranks follow from a distributed sort and the row counts of its partitions, so a column with very
     many categories never meets in one task.
     """
-    categories = df.where(col(column).isNotNull()).select(col(column)).distinct().sort(col(column))
-    ranked = categories.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    schema = T.StructType([df.schema[column], T.StructField("code", T.LongType())])
-    return df.sparkSession.createDataFrame(ranked, schema)
+    categories = df.where(col(column).isNotNull()).select(col(column).alias("_v")).distinct()
+    ranged = checkpoint(categories.repartitionByRange("_v").withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition.
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_v")) - 1
+    ranked = ranged.withColumn("_place", place).join(F.broadcast(sizes), "_part")
+    return ranked.select(F.col("_v").alias(column), (F.col("_before") + F.col("_place")).cast("long").alias("code"))
 
 
 def dictionary_encode(

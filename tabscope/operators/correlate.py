@@ -44,7 +44,8 @@ def correlation_long(
 ) -> DataFrame:
     """All ordered pairs of the varying features with their Pearson r, the diagonal included.
 
-    ``missing``: ``skip`` leaves out rows in which any feature is null or NaN, ``zero`` reads them as 0.
+    ``missing``: ``skip`` leaves out rows in which any feature is null or NaN, ``zero`` reads them as 0. Without a
+    complete row, and for a feature that is constant in the complete rows, r is null.
     """
     spark = df.sparkSession
     kept = varying_columns(df, features, rule)
@@ -55,11 +56,16 @@ def correlation_long(
     if missing == "zero":
         numbered = numbered.fillna(0.0)
     names = [f"c{i}" for i in range(len(kept))]
-    vectors = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(numbered.dropna())
-    matrix = Correlation.corr(vectors.select("v"), "v", "pearson").first()[0].toArray()
-    rows = [
-        (i, j, a, b, float(matrix[i, j])) for i, a in enumerate(kept) for j, b in enumerate(kept)
-    ]
+    complete = numbered.dropna()
+    ends = complete.agg(F.count(F.lit(1)), *[f(n) for n in names for f in (F.min, F.max)]).first()
+    # Columns can turn constant once rows with gaps are left out; their r is undefined, that with themselves too.
+    varying = [i for i in range(len(kept)) if ends[0] and ends[1 + 2 * i] != ends[2 + 2 * i]]
+    found = {}
+    if varying:
+        vectors = VectorAssembler(inputCols=[names[i] for i in varying], outputCol="v", handleInvalid="keep")
+        matrix = Correlation.corr(vectors.transform(complete).select("v"), "v", "pearson").first()[0].toArray()
+        found = {(i, j): float(matrix[p, q]) for p, i in enumerate(varying) for q, j in enumerate(varying)}
+    rows = [(i, j, a, b, found.get((i, j))) for i, a in enumerate(kept) for j, b in enumerate(kept)]
     return spark.createDataFrame(rows, LONG_SCHEMA)
 
 

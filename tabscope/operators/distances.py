@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabscope.functions.scalars import col, fill_zero
 from tabscope.operators.ranking import pick_rows
+from tabscope.session import ship
 
 BLOCK_ROWS = 256
 
@@ -52,6 +53,7 @@ def distances_to(a: DataFrame, b: DataFrame) -> DataFrame:
     are ever emitted. The mean of all distances needs every distance, so the work is rows x rows; callers
     pass samples.
     """
+    ship(a.sparkSession)
     rows_a, rows_b = a.count(), b.count()
     right = _blocks(b, rows_b, "b")
     numbers = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-rows_b // BLOCK_ROWS)) - 1).cast("long"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +14,6 @@ from tabscope.operators.columns import numeric_columns
 from tabscope.operators.profile import to_long
 
 # Fixed values.
-BINARY_COLUMNS = ("Fwd URG Flags", "Fwd PSH Flags")
 ONE_HOT_COLUMNS = ("Protocol", "Down/Up Ratio", "RST Flag Count", "FIN Flag Count")
 ORDINAL_COLUMNS = ("SYN Flag Count", "CWR Flag Count", "ECE Flag Count")
 PORT_COLUMNS = ("Src Port", "Dst Port")
@@ -107,7 +106,8 @@ class Preprocessor:
         return self
 
     def columns(self) -> list[Column]:
-        parts = [scaled(c, self._scaling).alias(f"scaled {c}") for c in self._scaling]
+        # Flags, codes and one-hot columns are never null, NaN or infinite; scaled values can be.
+        parts = [complete(scaled(c, self._scaling)).alias(f"scaled {c}") for c in self._scaling]
         parts += [ordinal(c, values).alias(f"ordinal {c}") for c, values in self._ordinal.items()]
         for c in self._ports:
             parts += port_category(col(c), c) if self.simple_ports else port_flags(col(c), c)
@@ -117,9 +117,5 @@ class Preprocessor:
 
     def transform(self, df: DataFrame, out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
         """(keep..., out): the encoded columns as one vector."""
-        parts = self.columns()
-        numbered = [complete(p).alias(f"_f{i}") for i, p in enumerate(parts)]
-        plain = df.select(*[col(k) for k in keep], *numbered)
-        names = [f"_f{i}" for i in range(len(parts))]
-        assembled = VectorAssembler(inputCols=names, outputCol=out).transform(plain)
-        return assembled.select(*[col(k) for k in keep], out)
+        parts = F.array(*[p.cast("double") for p in self.columns()])
+        return df.select(*[col(k) for k in keep], array_to_vector(parts).alias(out))

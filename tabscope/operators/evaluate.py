@@ -11,27 +11,28 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabscope.functions.aggregates import join_on
 from tabscope.functions.scalars import col, normalized_difference
 from tabscope.operators.profile import category_percentages, to_long
 from tabscope.operators.ranking import pick_rows
 
 # Fixed values.
-DIAGNOSED_FEATURES = 30
 TOP_DIFFERENCES = 10
 MIN_CLASSES_FOR_EXTREMES = 7
 EXTREME_CLASSES = 3
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(actual, predicted, count) for every pair of occurring classes, zeros included."""
+    """(actual, predicted, count) for every pair of occurring classes, zeros included; a null is a class."""
     counts = df.groupBy(col(label).alias("actual"), col(prediction).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count")
     )
     found = counts.select(F.col("actual").alias("c")).union(counts.select("predicted")).distinct()
-    # One row that holds the list of classes, unfolded along both axes.
-    classes = found.agg(F.array_sort(F.collect_list("c")).alias("cs"))
-    grid = classes.select("cs", F.explode("cs").alias("actual")).select("actual", F.explode("cs").alias("predicted"))
-    return grid.join(counts, ["actual", "predicted"], "left").fillna(0, ["count"])
+    # One row that holds the list of classes (a null among them, wrapped), unfolded along both axes.
+    classes = found.agg(F.sort_array(F.collect_list(F.struct("c"))).alias("cs"))
+    grid = classes.select("cs", F.explode("cs").alias("a")).select("a", F.explode("cs").alias("p"))
+    grid = grid.select(F.col("a.c").alias("actual"), F.col("p.c").alias("predicted"))
+    return join_on(grid, counts, ["actual", "predicted"], "left").fillna(0, ["count"])
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -45,7 +46,7 @@ def class_report(confusion: DataFrame) -> DataFrame:
         F.struct(F.col("actual").alias("class"), n.alias("support"), F.lit(0).cast("long").alias("said")),
         F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"), n.alias("said")),
     )
-    hit = F.when(F.col("actual") == F.col("predicted"), n).otherwise(0)
+    hit = F.when(F.col("actual").eqNullSafe(F.col("predicted")), n).otherwise(0)
     parts = confusion.withColumn("hit", hit).select("hit", F.posexplode(ends).alias("side", "e"))
     totals = parts.groupBy(F.col("e.class").alias("class")).agg(
         F.sum(F.when(F.col("side") == 0, F.col("hit")).otherwise(0)).alias("hits"),
@@ -147,16 +148,14 @@ def generalization_gap(fold_metrics: DataFrame) -> DataFrame:
     )
 
 
-def class_distribution(df: DataFrame, label: str, name_length: int = 15) -> DataFrame:
-    """(class, count, percentage) with shortened names."""
-    return category_percentages(df, [label]).select(
-        F.substring(col(label).cast("string"), 1, name_length).alias("class"), "count", "percentage"
-    )
+def class_distribution(df: DataFrame, label: str) -> DataFrame:
+    """(class, count, percentage) with whole names."""
+    return category_percentages(df, [label]).select(col(label).cast("string").alias("class"), "count", "percentage")
 
 
 def mean_differences(
     df: DataFrame, features: Sequence[str], label: str, n: int = TOP_DIFFERENCES,
-    first: int = DIAGNOSED_FEATURES, malicious_rows: int | None = None, keys: Sequence[str] = (), seed: int = 42,
+    malicious_rows: int | None = None, keys: Sequence[str] = (), seed: int = 42,
 ) -> DataFrame:
     """The features whose class means differ most, relative to the larger mean.
 
@@ -167,7 +166,7 @@ def mean_differences(
         malicious = pick_rows(df.where(col(label) == 1), malicious_rows, keys, seed)
         rows = df.where(col(label) == 0).unionByName(malicious)
     side = F.col(label)
-    means = to_long(rows, list(features)[:first], [label]).groupBy("feature").agg(
+    means = to_long(rows, list(features), [label]).groupBy("feature").agg(
         F.avg(F.when(side == 0, F.col("value"))).alias("benign_mean"),
         F.avg(F.when(side == 1, F.col("value"))).alias("malicious_mean"),
     )

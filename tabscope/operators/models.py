@@ -104,8 +104,13 @@ def balanced_by_copies(df: DataFrame, label: str) -> DataFrame:
     """
     counts = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("_n"))
     largest = counts.select(F.max("_n")).scalar()
-    copies = checkpoint(counts.select(col(label), F.round(largest / F.col("_n")).cast("int").alias("_copies")))
-    return join_on(df, small(copies), [label]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies")
+    copies = checkpoint(counts.select(col(label), F.round(largest / F.col("_n")).cast("long").alias("_copies")))
+    # A row becomes about sqrt(copies) rows, which are dealt out before each is repeated as often.
+    parts = F.ceil(F.sqrt("_copies"))
+    first = join_on(df, small(copies), [label]).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    share = F.floor(F.col("_copies") / parts) + (F.col("_part") < F.col("_copies") % parts).cast("long")
+    spread = first.withColumn("_share", share).hint("rebalance")
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share")))).drop("_copy", "_copies", "_part", "_share")
 
 
 def fit_perceptron(

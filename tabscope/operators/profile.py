@@ -35,17 +35,24 @@ def to_long(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> D
     return wide.unpivot([quoted(b) for b in by], [quoted(c) for c in features], "feature", "value")
 
 
+DESCRIBE_SCHEMA = (
+    "feature string, count long, null_count long, mean double, std double, min double, p25 double, p50 double, "
+    "p75 double, max double, min_text string, max_text string"
+)
+
+
 def describe(
     df: DataFrame, features: Sequence[str] | None = None, rows: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """One row per column: count, null_count, mean, sample std, min, quartiles and max.
 
-    Text columns get counts and the lexicographic min and max (``min_text``, ``max_text``).
+    Text, boolean, date and timestamp columns get counts and, as text, the min and max (``min_text``, ``max_text``).
     """
     names = df.columns if features is None else list(features)
     numeric = [c for c in numeric_columns(df) if c in set(names)]
-    text = [f.name for f in df.schema if f.name in set(names) and isinstance(f.dataType, T.StringType)]
+    ordered = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    text = [f.name for f in df.schema if f.name in set(names) and isinstance(f.dataType, ordered)]
     parts = []
     if numeric:
         long = to_long(df, numeric)
@@ -66,7 +73,8 @@ def describe(
             )
         )
     if text:
-        wide = df.select(*[col(c) for c in text])
+        # Dates, timestamps and booleans sort as text like as values.
+        wide = df.select(*[col(c).cast("string").alias(c) for c in text])
         long = wide.unpivot([], [quoted(c) for c in text], "feature", "value")
         empty = [F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
         parts.append(
@@ -79,6 +87,8 @@ def describe(
             )
             .select("feature", "count", "null_count", *empty, "min_text", "max_text")
         )
+    if not parts:
+        return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -166,11 +176,12 @@ def histogram(
     """Density histogram of each feature: ``bins`` equal cells between the smallest and largest value.
 
     Without ``by`` the values above the ``clip`` quantile are left out first; with ``by`` every category
-    has its own range and no clipping. A constant feature gets the range value -/+ 0.5.
+    has its own range and no clipping. A constant feature gets the range value -/+ 0.5. NaN and infinities are left out.
     """
     groups = [*by, "feature"]
     keys = [col(g) for g in groups]
-    long = to_long(df, features, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    infinite = F.abs("value") == F.lit(float("inf"))
+    long = to_long(df, features, by).where(F.col("value").isNotNull() & ~F.isnan("value") & ~infinite)
     if clip is not None and not by:
         bound = df.count() if rows is None else rows
         upper = exact_quantiles(long, groups, "value", {"upper": clip}, bound, max_group_rows)

@@ -13,7 +13,6 @@ from tabscope.operators.columns import fill_numeric
 from tabscope.operators.ranking import pick_rows
 
 # Fixed values.
-MAX_COMPONENTS = 50
 WANTED_SHARE = 0.8
 
 
@@ -33,18 +32,17 @@ def explained_variance(df: DataFrame, features: Sequence[str], components: int)
 
 def pca_variance(
     original: DataFrame, features: Sequence[str], reduced: Sequence[str], keys: Sequence[str] = (),
-    sample_size: int | None = None, seed: int = 42, max_components: int = MAX_COMPONENTS,
+    sample_size: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """(dataset, component, explained, cumulative) for the original and the reduced features.
+    """(dataset, component, explained, cumulative) for all components of the original and the reduced features.
 
     All rows are used; ``sample_size`` draws that many rows by ``keys`` first.
     """
     rows = original if sample_size is None else pick_rows(original, sample_size, keys, seed)
-    components = min(max_components, len(features), len(reduced))
     result = []
     for name, columns in (("original", features), ("reduced", reduced)):
         total = 0.0
-        for i, share in enumerate(explained_variance(rows, columns, components), 1):
+        for i, share in enumerate(explained_variance(rows, columns, len(columns)), 1):
             total += share
             result.append((name, i, share, total))
     return original.sparkSession.createDataFrame(
@@ -55,7 +53,7 @@ def pca_variance(
 def pca_summary(
     variance: DataFrame, original_features: int, reduced_features: int, wanted: float = WANTED_SHARE
 ) -> DataFrame:
-    """One row: reduction in percent, variance kept at the reduced count, components needed for 80 %."""
+    """One row: reduction in percent, variance kept at the reduced count (null if unknown), components for 80 %."""
     of = F.col("dataset")
     reached = F.col("cumulative") >= wanted
     at_count = F.max(
@@ -65,7 +63,7 @@ def pca_summary(
         F.lit(original_features).alias("original_features"),
         F.lit(reduced_features).alias("reduced_features"),
         F.lit(round((1 - reduced_features / original_features) * 100, 1)).alias("feature_reduction_pct"),
-        F.round(F.coalesce(at_count, F.lit(100.0)), 2).alias("variance_at_reduced_count"),
+        F.round(at_count, 2).alias("variance_at_reduced_count"),
         F.min(F.when((of == "original") & reached, F.col("component"))).alias("orig_components_for_80pct"),
         F.min(F.when((of == "reduced") & reached, F.col("component"))).alias("reduced_components_for_80pct"),
     )

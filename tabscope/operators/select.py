@@ -11,15 +11,6 @@ from tabscope.operators.columns import numeric_columns
 from tabscope.operators.components import connected_components
 from tabscope.operators.correlate import HIGH_CORRELATION
 
-# Fixed values.
-ALWAYS_CONSTANT = (
-    "Bwd PSH Flags",
-    "Bwd URG Flags",
-    "Fwd Bytes/Bulk Avg",
-    "Fwd Packet/Bulk Avg",
-    "Fwd Bulk Rate Avg",
-)
-
 
 def correlation_groups(pairs: DataFrame, threshold: float = HIGH_CORRELATION, signed: bool = True) -> DataFrame:
     """(feature, group): transitive groups of features linked by r >= threshold.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def profile_table(
 
 def reduce_table(
     df: DataFrame, long: DataFrame, keys: Sequence[str], out: str, label: str = "Label",
-    class_column: str = "Traffic Type", sample_size: int = 10_000, drop: Sequence[str] = select.ALWAYS_CONSTANT,
+    class_column: str = "Traffic Type", sample_size: int = 10_000, drop: Sequence[str] = (),
     inits: int = 10, seed: int = 42,
 ) -> dict[str, DataFrame]:
     """Stage 2: feature selection, variance comparison, and three row samples with their quality.
@@ -93,11 +94,10 @@ def classify_samples(
 ) -> DataFrame:
     """Stage 3: perceptrons and support vector machines on each sample, binary and multiclass.
 
-    The preprocessor is fitted once, on the training rows of the first sample. Copies made by a rare-class
+    A preprocessor is fitted for each sample and task, on its own training rows. Copies made by a rare-class
     top-up can fall on both sides of a split. Returns (task, model, dataset, metric, value).
     """
     parts = []
-    fitted = None
     # A column that is constant in one sample is missing there; only shared columns are encoded.
     shared = set.intersection(*[set(s.columns) for s in samples.values()])
     for name, sample in samples.items():
@@ -109,9 +109,8 @@ def classify_samples(
         classes = coded.select("_class").distinct().count()
         for task, target, count in (("binary", "_binary", 2), ("multiclass", "_class", classes)):
             split = checkpoint(sampling.rare_aware_split(coded, target, keys, seed=seed))
-            if fitted is None:
-                fitted = preprocessor or Preprocessor(exclude=[*keys, "_binary", "_class"])
-                fitted.fit(split.where(F.col("split") == "train"))
+            fitted = replace(preprocessor) if preprocessor else Preprocessor(exclude=[*keys, "_binary", "_class"])
+            fitted.fit(split.where(F.col("split") == "train"))
             vectors = checkpoint(fitted.transform(split, keep=[*keys, target, "split"]))
             train, test = (vectors.where(F.col("split") == s) for s in ("train", "test"))
             size = len(fitted.columns())
