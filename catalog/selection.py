@@ -462,3 +462,20 @@ def pca_power_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     power = lambda k: F.aggregate(eigen, F.lit(0.0), lambda s, x: s + F.pow(x, F.lit(float(k))))
     sums = counted.select("dataset", "components", power(1).alias("first"), power(2).alias("second"), power(3).alias("third"))
     return rounded(sums, 6, "first", "second", "third")
+
+
+@query(f"""
+WITH RECURSIVE {REPRESENTATIVES},
+features AS (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'disc_price', 'charge', 'refund', 'label', 'cls']) AS feature),
+chosen AS (SELECT f.feature FROM features f LEFT JOIN components c ON c.feature = f.feature LEFT JOIN kept k ON k."group" = c."group"
+  WHERE k.kept_feature IS NULL OR k.kept_feature = f.feature)
+SELECT f.feature, CASE WHEN f.feature IN (SELECT feature FROM chosen) THEN (SELECT count(*) FROM li) ELSE 0 END AS rows FROM features f""")
+def project_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values each column has in the table projected on the selected ones."""
+    rows, names = flows(spark, sf_dir), ["label", "cls"]
+    long = matrix(spark, sf_dir)
+    pairs = correlate.high_correlation_pairs(long)
+    chosen = select.feature_selection(rows, pairs, select.target_scores(long, names), names, drop=["konst"])
+    projected = rows.select(*select.selected_columns(rows, chosen))
+    counts = [(F.count(c) if c in projected.columns else F.lit(0).cast("long")).alias(c) for c in rows.columns if c != "konst"]
+    return projected.agg(*counts).unpivot([], [c for c in rows.columns if c != "konst"], "feature", "rows")
