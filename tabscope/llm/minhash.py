@@ -150,7 +150,7 @@ def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Buckets (``key``, ``__node``, ``__n``, ``weight``, ``indexed``) by shared rare shingles.
+    """Buckets (``key``, ``__node``, ``__n``, ``weight``, ``at``, ``indexed``) by shared rare shingles.
 
     With all shingles in one order, rarest first, two linked sets meet in the first n - ceil(p n) + 1 shingles of
     the larger and, as its overlap must reach 2 p / (1 + p) of the mean size, in the first
@@ -167,8 +167,14 @@ def _prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     length = F.expr(f"CAST(__n + 1 + floor(-{percent} * __n / 100) AS INT)")
     rare = ranked.select("__node", "__n", "weight", F.posexplode(F.slice("ranked", F.lit(1), length)).alias("at", "s"))
     indexed = F.expr(f"at < __n + 1 + floor(-{2 * percent} * __n / {100 + percent})")
-    rare = rare.where("s.holders > 1").select(F.col("s.key").alias("key"), "__node", "__n", "weight", indexed.alias("indexed"))
-    return rare.join(rare.where("indexed").select("key").distinct(), "key", "left_semi")
+    rare = rare.where("s.holders > 1").select(
+        F.col("s.key").alias("key"), "__node", "__n", "weight", "at", indexed.alias("indexed")
+    )
+    # What is left of a set from its place on must reach the overlap with the smallest indexed set of the bucket.
+    least = rare.where("indexed").groupBy("key").agg(F.min("__n").alias("least"))
+    rare = rare.join(least, "key").where(f"indexed OR {100 + percent} * (__n - at) >= {percent} * (__n + least)")
+    crowd = rare.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
+    return rare.drop("least").join(crowd.select("key"), "key", "left_semi")
 
 
 def _closed(members: DataFrame, labels: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -192,8 +198,10 @@ def _closed(members: DataFrame, labels: DataFrame, tested: DataFrame, sets: Data
         fresh = here.where("indexed").join(used, ["key", "__node"], "left_anti")
         place = "row_number() OVER (PARTITION BY key ORDER BY weight DESC, __node DESC) AS place"
         chosen = stored(fresh.selectExpr("*", place).where(F.col("place") <= centres).drop("place"), "centres")
-        now = chosen.selectExpr("key", "__node AS centre", "label AS centre_label", "__n AS centre_n")
-        new = here.join(now, "key").where("label <> centre_label")
+        now = chosen.selectExpr("key", "__node AS centre", "label AS centre_label", "__n AS centre_n", "at AS centre_at")
+        # A pair meets at its first common shingle, from which enough must be left of both sets.
+        enough = f"{100 + percent} * least(__n - at, centre_n - centre_at) >= {percent} * (__n + centre_n)"
+        new = here.join(now, "key").where("label <> centre_label").where(enough)
         new = new.where("indexed OR struct(centre_n, centre) < struct(__n, __node)")
         new = new.select(F.least("centre", "__node").alias("a"), F.greatest("centre", "__node").alias("b")).distinct()
         new = stored(new.join(tested, ["a", "b"], "left_anti"), "pairs")
