@@ -32,7 +32,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (data[offsets[0] : offsets[-1]], offsets - offsets[0]) if len(offsets) else (data[:0], np.zeros(1, np.int64))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batches cut between rows into parts of about ``most`` bytes of text; a longer text is a part of its own."""
     for batch in batches:
         if not batch.num_rows:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabscope.session import scratch_path, ship
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
