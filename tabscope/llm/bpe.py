@@ -40,7 +40,7 @@ CLASSES = 11
 START, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ON_SPACE, ON_WHITE, ON_QUOTE, ON_R, ON_V, ON_L, ENDED = range(11)
 STATES = 11
 
-CACHE_SLOTS = 300_000
+CACHE_SLOTS = 100_000
 _BLOCK = 256
 
 

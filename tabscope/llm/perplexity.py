@@ -72,15 +72,15 @@ def gram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         total = np.zeros(SYMBOLS**ORDER, np.int64)
         for part in pieces(batches, text_col):
             codes, _ = gram_codes(*utf8(part.column(text_col)))
-            if len(codes):
-                total += np.bincount(codes, minlength=len(total))
+            found, counts = np.unique(codes, return_counts=True)
+            total[found] += counts
         seen = np.flatnonzero(total)
         for at in range(0, len(seen), 1 << 16):
             some = seen[at : at + (1 << 16)]
             yield pa.RecordBatch.from_pydict({"code": pa.array(some.astype(np.int32)), "n": pa.array(total[some])})
 
-    counts = batched(docs.select(text_col)).mapInArrow(run, "code int, n long")
-    return counts.groupBy("code").agg(F.sum("n").alias("n"))
+    counted = batched(docs.select(text_col)).mapInArrow(run, "code int, n long")
+    return counted.groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _discounts(grams: DataFrame) -> list[float]:
