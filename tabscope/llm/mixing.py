@@ -95,12 +95,14 @@ def mix_documents(
     targets: Mapping[str, Mapping[str | None, float]] | None = None, power: float = POWER, rounds: int = ROUNDS,
     fraction: float = 1.0, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with ``topic``, ``tokens``, ``ratio``, ``probability`` and ``sampled``; replaces columns of these names.
-
-    ``ratio`` is the raked share of a document's cell over its present share. A document is drawn with
-    probability ``fraction * ratio``, at most 1: overweight cells shrink, others stay whole. The draw depends on the
-    id only, so rows with equal ids share it. Documents are joined with the cells by broadcast while these are few,
-    else by a shuffle join.
+    """``docs`` with ``topic``, ``tokens``, ``ratio``, ``probability``, ``sampled`` and ``copies``; replaces columns of these names.
+
+    ``ratio`` is the raked share of a document's cell over its present share. ``copies`` says how often a document is
+    in the mix: the whole part of ``fraction * ratio``, and once more with its fractional part as probability, so that
+    tokens times copies meet the targets. ``sampled`` (with ``probability``, at most 1) tells whether it is there at all; sampled
+    rows alone, without their copies, fall short of the targets of underweight cells. The draw depends on the id
+    only, so rows with equal ids share it. Documents are joined with the cells by broadcast while these are few, else by
+    a shuffle join.
     """
     topic = topic_of(F.col(text_col)) if topic is None else topic
     tokens = token_weight(F.col(text_col)) if tokens is None else tokens
@@ -111,10 +113,11 @@ def mix_documents(
     total = float(max(cells.agg(F.sum("tokens")).first()[0] or 0, 1))
     ratio = F.when(F.col("tokens") > 0, F.col("weight") * F.lit(total) / F.col("tokens")).otherwise(F.lit(1.0))
     found = small(raked.select(*margins, ratio.alias("ratio")))
-    rows = _matched(rows.drop("ratio", "probability", "sampled"), found, margins)
-    probability = F.least(F.lit(1.0), F.lit(float(fraction)) * F.col("ratio"))
-    rows = rows.withColumn("probability", probability)
-    return rows.withColumn("sampled", draw(F.col(id_col), seed) < F.col("probability"))
+    rows = _matched(rows.drop("ratio", "probability", "sampled", "copies"), found, margins)
+    wanted, drawn = F.lit(float(fraction)) * F.col("ratio"), draw(F.col(id_col), seed)
+    rows = rows.withColumn("probability", F.least(F.lit(1.0), wanted))
+    copies = F.floor(wanted) + (drawn < wanted - F.floor(wanted)).cast("long")
+    return rows.withColumn("sampled", drawn < F.col("probability")).withColumn("copies", copies)
 
 
 def sql(power: float = POWER, rounds: int = ROUNDS) -> str:

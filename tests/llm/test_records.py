@@ -147,6 +147,26 @@ def test_documents_are_drawn_by_their_cells(spark):
     assert kept["rare"] == 1 and abs(kept["big"] - 0.5 / 0.9) < 0.05
 
 
+def test_copies_meet_the_targets_of_all_margins(spark):
+    random = np.random.default_rng(3)
+    texts = {"prose": "word " * 40, "table": "a | b " * 40, "numbers": "1234 x " * 40}
+    rows = []
+    for k in range(12000):
+        source, lang = random.choice(["hot", "mid", "rare"], p=[0.8, 0.15, 0.05]), random.choice(["en", "de"], p=[0.85, 0.15])
+        rows.append((k, texts[random.choice(list(texts), p=[0.8, 0.15, 0.05])], str(lang), str(source), 0))
+    docs = cases.documents(spark, rows).selectExpr("*", "5 AS copies")
+    targets = {"source": {"hot": 2, "mid": 1, "rare": 1}, "lang": {"en": 2, "de": 1}, "topic": {"prose": 2, "table": 1, "numbers": 1}}
+    for wanted in (targets, None):
+        mixed = mixing.mix_documents(docs, targets=wanted).drop("text").toPandas()
+        assert ((mixed.copies > 0) == mixed.sampled).all()
+        for margin in mixing.MARGINS:
+            realised = (mixed.tokens * mixed.copies).groupby(mixed[margin]).sum() / (mixed.tokens * mixed.copies).sum()
+            share = mixed.groupby(margin).tokens.sum() / mixed.tokens.sum()
+            weight = {c: s**mixing.POWER for c, s in share.items()} if wanted is None else wanted[margin]
+            for category, value in weight.items():
+                assert realised[category] == pytest.approx(value / sum(weight.values()), rel=0.06)
+
+
 def test_mixing_awkward_and_empty_tables(spark):
     docs = cases.documents(spark)
     rows = mixing.mix_documents(docs).collect()
