@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabscope.functions.aggregates import small
 from tabscope.llm import bpe, minhash, mixing, perplexity, secrets
 from tabscope.llm.frames import read, stored
 from tabscope.llm.queries import vocabulary
@@ -25,11 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts have no words and go. The model and the bands are made from all of ``docs``.
     """
     rows, text, lang = _numbered(docs), _at(docs, "text"), _at(docs, "lang")
-    model = perplexity.train(rows, text)
-    narrow = perplexity.measure(rows.select(text, lang), model, text, keep_text=False)
-    limits = perplexity.bands(narrow, lang)
-    judged = perplexity.judge(perplexity.measure(rows, model, text), limits, lang)
-    return judged.where("kept").select(*rows.columns).toDF(*docs.columns)
+    narrow = stored(perplexity.measure_words(rows.select(text, lang), text), "measured")
+    judged = perplexity.judge(narrow, perplexity.upper_bands(narrow, lang), lang)
+    rejected = judged.where("NOT base_failed AND NOT kept").select(F.col("text_key").alias("key"), F.col(lang).alias("key_lang"))
+    rejected = small(stored(rejected.distinct(), "rejected"))
+    passed = perplexity.counted(rows, text).where(~perplexity.base_failed())
+    same = (F.col("text_key") == F.col("key")) & F.col(lang).eqNullSafe(F.col("key_lang"))
+    return passed.join(rejected, same, "left_anti").select(*rows.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

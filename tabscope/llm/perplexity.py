@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.aggregates import small
-from tabscope.llm import bpe
+from tabscope.llm import bpe, wordgrams
 from tabscope.llm.arrays import U64, Rolling, joined, mix, odd_weights, per_text, pieces, utf8, with_columns, words
 from tabscope.llm.frames import batched, stored, with_names
 
@@ -246,6 +246,28 @@ def measure(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bo
     return batched(docs).mapInArrow(run, with_names(kept, MEASURES))
 
 
+def counted(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the base counts and ``text_key``, which equal texts share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, text_col):
+            data, offsets = utf8(part.column(text_col))
+            extra = {k: pa.array(v) for k, v in base_counts(data, offsets).items()}
+            extra["text_key"] = pa.array(wordgrams.text_keys(data, offsets))
+            yield with_columns(part, extra, () if keep_text else (text_col,))
+
+    kept = [f for f in docs.schema if keep_text or f.name != text_col]
+    extra = MEASURES.replace("log_perplexity double", "text_key long")
+    return batched(docs).mapInArrow(run, with_names(kept, extra))
+
+
+def measure_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` without the text, with the base counts, ``text_key`` and the ``log_perplexity`` of a token by a model of
+    word n-grams (null for texts without a token)."""
+    rows = counted(docs.drop("log_perplexity"), text_col, keep_text=False)
+    return rows.join(wordgrams.log_perplexities(docs, text_col), "text_key", "left")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
@@ -266,6 +288,12 @@ def bands(measured: DataFrame, lang_col: str = "lang", spread: float = 3.0) -> D
     )
 
 
+def upper_bands(measured: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """``bands`` without a lower limit, for word n-grams: near copies in the other fold make a text predictable, which is no
+    fault of it. Copies are left to the removal of near-duplicates, repetition within a text to the base rules."""
+    return bands(measured, lang_col).withColumn("low", F.lit(float("-inf")))
+
+
 def judge(measured: DataFrame, limits: DataFrame, lang_col: str = "lang") -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``: base rules passed and perplexity within the language's band.
 

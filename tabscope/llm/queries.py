@@ -53,8 +53,8 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_perplexity_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    measured = stored(perplexity.measure(docs, perplexity.train(docs), keep_text=False), "measured")
-    judged = perplexity.judge(measured, perplexity.bands(measured))
+    measured = stored(perplexity.measure_words(docs), "measured")
+    judged = perplexity.judge(measured, perplexity.upper_bands(measured))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept", F.exp("log_perplexity").alias("perplexity"))
 
