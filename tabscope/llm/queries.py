@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, repeats, secrets, warc
+from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, repeats, secrets, urls, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -109,3 +109,9 @@ def op5_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+
+
+@query(urls.SQL)
+def op13_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return urls.judge_urls(pages, urls.rule_table(spark), urls.declared_links(pages))
