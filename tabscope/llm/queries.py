@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, langid, merkle, minhash, mixing, perplexity, quality, repeats, secrets, urls, warc
+from tabscope.llm import bpe, langid, merkle, minhash, mixing, periods, perplexity, quality, repeats, secrets, urls, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -111,6 +111,12 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
 
 
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return periods.run_digests(docs.withColumn("text", periods.planted(F.col("doc_id"), F.col("text"))))
+
+
 @query(urls.SQL)
 def op13_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
