@@ -158,13 +158,19 @@ def planted(doc_id: Column, text: Column) -> Column:
     (3 + g % 8)) of them. A null id or text and a text without words stay as they are.
     """
     h = F.crc32(doc_id.cast("string").cast("binary"))
-    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    g, n = F.floor(h / 10), F.size(found)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-    repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(found, (place(i) + 1).cast("int"))), " ")
-    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(text)
+    g = F.floor(h / 10)
+
+    def repeated(found: Column) -> Column:
+        n = F.size(found)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        words = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(found, (place(i) + 1).cast("int")))
+        return F.when(n > 0, F.array_join(words, " ")).otherwise(text)
+
+    # As an element of an array the words are taken out of the text once, not once a place.
+    whole = F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), repeated)[0]
+    return F.when(h % 10 == 0, whole).otherwise(text)
 
 
 def run_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
