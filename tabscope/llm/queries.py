@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import bpe, langid, merkle, minhash, mixing, periods, perplexity, quality, repeats, secrets, urls, warc
+from tabscope.llm import bpe, langid, merkle, minhash, mixing, periods, perplexity, quality, repeats, secrets, spelling, urls, warc
 from tabscope.llm.frames import read, stored
 from tabscope.session import scratch_path
 
@@ -117,6 +117,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_digests(docs.withColumn("text", periods.planted(F.col("doc_id"), F.col("text"))))
 
 
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.runs_of_letters(read(spark, sf_dir, "documents"))
+    slips = words.select(spelling.slipped(F.col("doc_id"), F.col("word")).alias("word"))
+    return spelling.variants(spelling.word_counts(slips)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query(urls.SQL)
 def op13_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
