@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.views import KEYS, LAB, NUMERIC, digest_sql, emb, lab, li, registrar, rounded, table
+from catalog.views import BASIC, KEYS, LAB, NUMERIC, digest_sql, emb, lab, li, registrar, rounded, table
 from tabscope.operators import cluster_sampling, profile, quality, sampling
 
 REGISTRY: dict = {}
@@ -264,3 +265,64 @@ SELECT l_returnflag, l_linestatus, l_orderkey, l_partkey, l_suppkey, l_linenumbe
 def nearest_to_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lineitem(spark, sf_dir)
     return cluster_sampling.nearest_to_centre(rows, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"], KEYS)
+
+
+def _grid_sql() -> str:
+    moments = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(BASIC))
+    cell = ", ".join(f"floor(round(({c} - m{i}) / s{i} / (3.49 / n ** (1.0 / {len(BASIC) + 2})), 9))::BIGINT" for i, c in enumerate(BASIC))
+    close = " AND ".join(f"a.cell[{i + 1}] - b.cell[{i + 1}] BETWEEN -1 AND 1" for i in range(len(BASIC)))
+    strata, keys = ", ".join(STRATA), ", ".join(KEYS)
+    return f"""
+WITH RECURSIVE moments AS (SELECT {strata}, count(*) AS n, {moments} FROM lineitem GROUP BY {strata}),
+placed AS (SELECT {strata}, {keys}, n AS total, [{cell}] AS cell FROM lineitem JOIN moments USING ({strata})),
+cells AS (SELECT {strata}, cell, total, count(*) AS n FROM placed GROUP BY ALL),
+dense AS (SELECT *, array_to_string(cell, '_') AS name FROM cells
+  JOIN (SELECT {strata}, avg(n) AS mean FROM cells GROUP BY ALL) USING ({strata}) WHERE n >= greatest(2, mean)),
+touching AS (SELECT a.{STRATA[0]}, a.{STRATA[1]}, a.name AS a, b.name AS b FROM dense a JOIN dense b USING ({strata}) WHERE {close}),
+reached AS (
+  SELECT {strata}, name, name AS label FROM dense
+  UNION
+  SELECT {strata}, b, label FROM reached JOIN touching USING ({strata}) WHERE name = a),
+labelled AS (SELECT {strata}, name, min(label) AS cluster FROM reached GROUP BY ALL),
+assigned AS (SELECT * FROM dense JOIN labelled USING ({strata}, name)),
+large AS (SELECT {strata}, cluster FROM assigned GROUP BY ALL HAVING sum(n) >= greatest(5, least(50, floor(any_value(total) / 100)))),
+kept AS (SELECT {strata}, cell, cluster FROM assigned JOIN large USING ({strata}, cluster))
+SELECT {strata}, {keys}, cluster FROM placed LEFT JOIN kept USING ({strata}, cell)"""
+
+
+@query(_grid_sql())
+def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cluster_sampling.scaled_in_stratum(lineitem(spark, sf_dir), STRATA, BASIC)
+    return cluster_sampling.density_clusters(scored, STRATA, KEYS, turned=False)
+
+
+@query("""
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+entries AS (SELECT vec_id, label, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM v),
+centres AS (SELECT label AS cluster, i, avg(e) AS c FROM entries GROUP BY ALL),
+far AS (SELECT vec_id, cluster, sum((e - c) * (e - c)) AS d FROM entries JOIN centres USING (i) GROUP BY ALL),
+near AS (SELECT vec_id, arg_min(cluster, d) AS cluster, min(d) AS d FROM far GROUP BY vec_id),
+moved AS (SELECT cluster, i, avg(e) AS c FROM entries JOIN near USING (vec_id) GROUP BY ALL)
+SELECT cluster::INTEGER AS cluster, rows, round(cost, 6) AS cost, shift FROM
+  (SELECT cluster, count(*) AS rows, sum(d) AS cost FROM near GROUP BY 1)
+  JOIN (SELECT cluster, round(sum((m.c - o.c) * (m.c - o.c)), 6) + 0.0 AS shift FROM moved m JOIN centres o USING (cluster, i) GROUP BY 1) USING (cluster)""")
+def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One step from given centres, the means of the labels: rows and cost of each cluster, and how far its centre moves."""
+    rows, features = emb(spark, sf_dir)
+    means = rows.groupBy("label").agg(*[F.avg(c).alias(c) for c in features]).orderBy("label").collect()
+    labels = [r["label"] for r in means]
+    centres = np.array([[[r[c] for c in features] for r in means]])
+    points = rows.select(F.lit("all").alias("part"), F.array(*features).alias("x"))
+    step = cluster_sampling.lloyd_step(points, {"all": centres})
+    number = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("cluster") + 1).cast("int")
+    old = F.element_at(F.lit(centres[0].tolist()), F.col("cluster") + 1)
+    shift = F.aggregate(F.zip_with("centre", old, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    return rounded(step.select(number.alias("cluster"), "rows", "cost", shift.alias("shift")), 6, "cost", "shift")
+
+
+@query("""
+WITH counts AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
+SELECT label, least(greatest(round(n / (SELECT sum(n) FROM counts) * 100), 1)::BIGINT, n) AS medoids FROM counts""")
+def kmeans_sample_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medoids of each label in the k-means sample: one for each cluster that its target asks for."""
+    return kmeans_sample(spark, sf_dir).groupBy("label").agg(F.count(F.lit(1)).alias("medoids"))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.functions.aggregates import small
 from tabscope.functions.scalars import col, fill_zero
+from tabscope.operators.neighbours import BallIndex, distances, matrix
 from tabscope.operators.ranking import pick_rows
-from tabscope.session import ship
+from tabscope.session import checkpoint, ship
 
 BLOCK_ROWS = 256
+# Rows of each side of which the mean of all distances is taken.
+MEAN_ROWS = 2000
 
 
 def feature_array(features: Sequence[str]) -> Column:
@@ -28,30 +31,26 @@ def _blocks(points: DataFrame, rows: int, name: str) -> DataFrame:
     return points.groupBy(block).agg(gathered)
 
 
-def _block_distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each row of the left block: smallest, total and number of distances to the right block."""
+def _block_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each row of the left block: total and number of distances to the rows of the right block with another id."""
     for batch in batches:
-        for left, right in zip(batch["a"], batch["b"]):
-            ids = np.array([r["id"] for r in left], dtype=object)
-            other = np.array([r["id"] for r in right], dtype=object)
-            y = np.stack([np.asarray(r["vector"], dtype=float) for r in right])
-            nearest, total, count = [], [], []
-            for i, r in enumerate(left):
-                d = np.sqrt(((y - np.asarray(r["vector"], dtype=float)) ** 2).sum(axis=1))
-                d = d[other != ids[i]]
-                nearest.append(d.min() if d.size else np.nan)
-                total.append(d.sum())
-                count.append(d.size)
-            yield pd.DataFrame({"id": ids, "nearest": nearest, "total": total, "n": count})
+        for k in range(batch.num_rows):
+            left, right = (batch.column(side).slice(k, 1).flatten() for side in ("a", "b"))
+            ids, other = (side.field("id").to_numpy(zero_copy_only=False) for side in (left, right))
+            d = distances(matrix(left.field("vector")), matrix(right.field("vector")), "euclidean")
+            apart = ids[:, None] != other[None]
+            yield pa.RecordBatch.from_arrays(
+                [left.field("id"), pa.array((d * apart).sum(1)), pa.array(apart.sum(1))], ["id", "total", "n"]
+            )
 
 
 def distances_to(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(id, nearest, total, n): each row of ``a`` against all rows of ``b`` with another id.
+    """(id, total, n): each row of ``a`` against all rows of ``b`` with another id.
 
     Both sides are (id string, vector). They are cut into blocks, every block of ``a`` is sent to every block of ``b`` by an
     equi-join on the block number, and a pair of blocks returns one row per row of ``a``: no pairs of rows
     are ever emitted. The mean of all distances needs every distance, so the work is rows x rows; callers
-    pass samples.
+    pass samples of a stated size.
     """
     ship(a.sparkSession)
     rows_a, rows_b = a.count(), b.count()
@@ -59,38 +58,57 @@ def distances_to(a: DataFrame, b: DataFrame) -> DataFrame:
     numbers = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-rows_b // BLOCK_ROWS)) - 1).cast("long"))
     left = _blocks(a, rows_a, "a").withColumn("b_block", F.explode(numbers))
     pairs = left.join(right, "b_block").repartition("a_block", "b_block")
-    partial = pairs.select("a", "b").mapInPandas(
-        _block_distances, "id string, nearest double, total double, n long"
-    )
-    return partial.groupBy("id").agg(
-        F.min(F.nanvl("nearest", F.lit(None).cast("double"))).alias("nearest"),
-        F.sum("total").alias("total"), F.sum("n").alias("n"),
-    )
+    partial = pairs.select("a", "b").mapInArrow(_block_distances, "id string, total double, n long")
+    return partial.groupBy("id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def nearest_others(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(id, nearest): for each row of ``a`` the distance to the nearest row of ``b`` with another id; null without one.
+
+    Both sides are (id string, vector); an id has one vector. Equal vectors are taken together first, so copies cost
+    one look-up: their distance is 0 if they have two ids in ``b``, or another than the row's. The rest is found through balls around
+    pivots (``BallIndex``): no pairs of rows are emitted, and balls out of reach are not visited.
+    """
+    ends = [F.min("id").alias("low"), F.max("id").alias("high")]
+    of_a = checkpoint(a.groupBy("vector").agg(F.min("id").alias("key")).select(F.lit("").alias("part"), "key", "vector"))
+    of_b = checkpoint(b.groupBy("vector").agg(*ends))
+    if of_b.isEmpty():
+        return a.select("id", F.lit(None).cast("double").alias("nearest"))
+    index = BallIndex(of_b.select(F.lit("").alias("part"), F.col("low").alias("key"), "vector"))
+    found = index.nearest(of_a).select("key", "nearest")
+    known = of_a.join(found, "key").join(of_b, "vector", "left").select(F.col("vector").alias("v"), "nearest", "low", "high")
+    rows = a.join(small(checkpoint(known)), F.col("vector") == F.col("v"))
+    copied = F.col("low").isNotNull() & ((F.col("low") != F.col("id")) | (F.col("high") != F.col("id")))
+    return rows.select("id", F.when(copied, 0.0).otherwise(F.col("nearest")).alias("nearest"))
 
 
 def neighbour_diagnosis(
     df: DataFrame, label: str, keys: Sequence[str], vector: Column, seed: int = 42,
-    malicious_rows: int | None = None,
+    malicious_rows: int | None = None, mean_rows: int = MEAN_ROWS,
 ) -> DataFrame:
     """(metric, value) of distances between benign (0) rows, malicious (1) rows and across.
 
     Nearest neighbour inside the benign rows: min, max, mean; inside the malicious rows: mean; across: the
     smallest, and the mean of all. ``malicious_rows`` draws that many malicious rows; by default as many as
-    there are benign ones.
+    there are benign ones. Nearest neighbours are exact. The mean across has no form that spares pairs: it is taken over at
+    most ``mean_rows`` rows of each side, picked by the seeded digest of their keys.
     """
     identity = F.concat_ws("_", *[col(k).cast("string") for k in keys]).alias("id")
     benign = df.where(col(label) == 0)
     malicious = df.where(col(label) == 1)
     wanted = benign.count() if malicious_rows is None else malicious_rows
     drawn = pick_rows(malicious, wanted, keys, seed)
-    benign, drawn = benign.select(identity, vector.alias("vector")), drawn.select(identity, vector.alias("vector"))
-    inside = distances_to(benign, benign).agg(
+    few = [pick_rows(side, mean_rows, keys, seed).select(identity, vector.alias("vector")) for side in (benign, drawn)]
+    benign, drawn = (checkpoint(side.select(identity, vector.alias("vector"))) for side in (benign, drawn))
+    inside = nearest_others(benign, benign).agg(
         F.min("nearest").alias("benign_nearest_min"), F.max("nearest").alias("benign_nearest_max"),
         F.avg("nearest").alias("benign_nearest_mean"),
     )
-    other = distances_to(drawn, drawn).agg(F.avg("nearest").alias("malicious_nearest_mean"))
-    across = distances_to(benign, drawn).agg(
-        F.min("nearest").alias("cross_min"), (F.sum("total") / F.sum("n")).alias("cross_mean")
-    )
-    parts = [part.unpivot([], part.columns, "metric", "value") for part in (inside, other, across)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    other = nearest_others(drawn, drawn).agg(F.avg("nearest").alias("malicious_nearest_mean"))
+    across = nearest_others(benign, drawn).agg(F.min("nearest").alias("cross_min"))
+    mean = distances_to(*few).agg((F.sum("total") / F.sum("n")).alias("cross_mean"))
+    parts = [part.unpivot([], part.columns, "metric", "value") for part in (inside, other, across, mean)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
