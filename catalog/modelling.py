@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from catalog.views import BASIC, KEYS, LI, NUMERIC, PORTS, digest_sql, emb, li, long_sql, ports, registrar, rounded, table
-from tabscope.operators import distances, encode, evaluate, models, sampling
-from tabscope.operators.reduce import scaled_vectors
+from tabscope.operators import columns, distances, encode, evaluate, models, sampling, training
+from tabscope.session import checkpoint
 
 REGISTRY: dict = {}
 query = registrar(REGISTRY)
@@ -30,8 +32,8 @@ LEFT JOIN (SELECT p_size, dense_rank() OVER (ORDER BY p_size) - 1 AS code
   FROM (SELECT DISTINCT p_size FROM part WHERE p_type = 'ECONOMY' AND p_size % 3 <> 0)) d USING (p_size)""")
 def ordinal_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    known = encode.categories(part.where((F.col("p_type") == "ECONOMY") & (F.col("p_size") % 3 != 0)), "p_size")
-    return part.select("p_partkey", encode.ordinal("p_size", known).alias("code"))
+    known = columns.dictionary(part.where((F.col("p_type") == "ECONOMY") & (F.col("p_size") % 3 != 0)), "p_size")
+    return encode.ordinal_encode(part, "p_size", known).select("p_partkey", "code")
 
 
 @query("""
@@ -43,6 +45,44 @@ def one_hot_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", *encode.one_hot("o_orderstatus", known))
 
 
+@query("""
+WITH codes AS (SELECT c_custkey, dense_rank() OVER (ORDER BY c_custkey) - 1 AS code FROM customer WHERE c_custkey % 5 <> 0),
+n AS (SELECT count(*) AS size FROM codes)
+SELECT o_orderkey, size, code AS at FROM orders LEFT JOIN codes ON o_custkey = c_custkey, n""")
+def one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with as many categories as customers: the place of the 1 of each sparse vector, null for unknown ones."""
+    customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 != 0).select(F.col("c_custkey").alias("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    coded = encode.one_hot_vector(orders, "o_custkey", columns.dictionary(customers, "o_custkey"), "hot")
+    hot = unwrap_udt("hot")
+    return coded.select("o_orderkey", hot["size"].cast("long").alias("size"), F.get(hot["indices"], F.lit(0)).cast("long").alias("at"))
+
+
+def _gradient_sql() -> str:
+    classes = {"A": 0, "N": 1, "R": 2}
+    code = "CASE l_returnflag " + " ".join(f"WHEN '{c}' THEN {i}" for c, i in classes.items()) + " END"
+    entries = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, {k} AS class, sum(w * (1.0 / 3 - (y = {k})::INTEGER) * {f}) / sum(w) AS gradient FROM weighted"
+        for f in BASIC for k in range(3)
+    )
+    return f"""
+WITH coded AS (SELECT *, {code} AS y FROM lineitem), sizes AS (SELECT y, count(*) AS n FROM coded GROUP BY y),
+weighted AS (SELECT coded.*, (SELECT count(*) FROM coded) / (3.0 * n) AS w FROM coded JOIN sizes USING (y)),
+entries AS ({entries}) SELECT feature, class, round(gradient, 6) + 0.0 AS gradient FROM entries"""
+
+
+@query(_gradient_sql())
+def weighted_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient of a class-weighted network without hidden layers at its zero point, for each feature and class."""
+    rows = encode.label_index(table(spark, sf_dir, "lineitem").select(*BASIC, "l_returnflag"), "l_returnflag", "y")
+    vector = F.array(*BASIC).alias("x")
+    weighted = models.with_class_weight(rows, "y", "w").select(vector, "y", F.col("w").cast("double"), F.lit(0).alias("fold"))
+    model = training.Perceptron([len(BASIC), 3])
+    _, slope = training.gradient_sums(weighted, model, np.zeros((1, 3 * len(BASIC) + 3)), [-1])
+    found = [(f, k, float(slope[0, 3 * i + k])) for i, f in enumerate(BASIC) for k in range(3)]
+    return rounded(spark.createDataFrame(found, "feature string, class int, gradient double"), 6, "gradient")
+
+
 @query("SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS label_index FROM orders")
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -77,7 +117,7 @@ def column_preprocessor(spark: SparkSession, sf_dir: str) -> DataFrame:
         exclude=kept,
     ).fit(rows)
     values = fitted.transform(rows, keep=kept).withColumn("v", vector_to_array("features"))
-    width = len(fitted.columns())
+    width = len(ENCODED)
     return values.select(*kept, *[(F.round(F.col("v")[i], 6) + 0.0).alias(f"f{i}") for i in range(width)])
 
 
@@ -256,10 +296,12 @@ drawn AS (SELECT * FROM points WHERE y = 1 ORDER BY md5(concat_ws('_', '42', vec
 inside AS (SELECT a.vec_id, min(list_distance(a.v, b.v)) AS d FROM benign a JOIN benign b ON a.vec_id <> b.vec_id GROUP BY 1),
 other AS (SELECT a.vec_id, min(list_distance(a.v, b.v)) AS d FROM drawn a JOIN drawn b ON a.vec_id <> b.vec_id GROUP BY 1),
 across AS (SELECT list_distance(a.v, b.v) AS d FROM benign a, drawn b),
+few_benign AS (SELECT * FROM benign ORDER BY md5(concat_ws('_', '42', vec_id)), vec_id LIMIT 2000),
+few_drawn AS (SELECT * FROM drawn ORDER BY md5(concat_ws('_', '42', vec_id)), vec_id LIMIT 2000),
 metrics AS (
   SELECT 'benign_nearest_min' AS metric, min(d) AS value FROM inside UNION ALL SELECT 'benign_nearest_max', max(d) FROM inside
   UNION ALL SELECT 'benign_nearest_mean', avg(d) FROM inside UNION ALL SELECT 'malicious_nearest_mean', avg(d) FROM other
-  UNION ALL SELECT 'cross_min', min(d) FROM across UNION ALL SELECT 'cross_mean', avg(d) FROM across)
+  UNION ALL SELECT 'cross_min', min(d) FROM across UNION ALL SELECT 'cross_mean', avg(list_distance(a.v, b.v)) FROM few_benign a, few_drawn b)
 SELECT metric, round(value, 6) + 0.0 AS value FROM metrics""")
 def nn_distance_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "embeddings").withColumn("y", (F.col("label") >= 5).cast("int"))
@@ -268,13 +310,16 @@ def nn_distance_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedded(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, DataFrame, int]:
-    """Scaled embeddings with ``y``, split into training and test rows, and their width."""
+    """Embeddings with ``y``, split into training and test rows, scaled by the moments of the training rows, and their width."""
     rows, features = emb(spark, sf_dir)
-    vectors = scaled_vectors(rows, features, "features", keep=["vec_id", "label"])
     binary = (F.col("label") >= 5).cast("int")
-    coded = vectors.withColumn("y", binary if label == "binary" else F.col("label"))
-    split = sampling.rare_aware_split(coded, "y", ["vec_id"])
-    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), len(features)
+    coded = rows.withColumn("y", binary if label == "binary" else F.col("label"))
+    split = checkpoint(sampling.rare_aware_split(coded, "y", ["vec_id"]))
+    train = split.where(F.col("split") == "train")
+    scaled = encode.standard_scale(split, features, fit_on=train)
+    vector = array_to_vector(F.array(*[encode.complete(F.col(c)) for c in features])).alias("features")
+    vectors = scaled.select("vec_id", "label", "y", "split", vector)
+    return vectors.where(F.col("split") == "train"), vectors.where(F.col("split") == "test"), len(features)
 
 
 @query()

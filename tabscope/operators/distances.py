@@ -8,7 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.functions.aggregates import small
 from tabscope.functions.scalars import col, fill_zero
 from tabscope.operators.neighbours import BallIndex, distances, matrix
 from tabscope.operators.ranking import pick_rows
@@ -62,24 +61,27 @@ def distances_to(a: DataFrame, b: DataFrame) -> DataFrame:
     return partial.groupBy("id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
-def nearest_others(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(id, nearest): for each row of ``a`` the distance to the nearest row of ``b`` with another id; null without one.
+def distinct_vectors(points: DataFrame) -> DataFrame:
+    """(part, key, vector, low, high): each vector of (id, vector) once, with its smallest and largest id."""
+    ids = points.groupBy("vector").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    return checkpoint(ids.select(F.lit("").alias("part"), F.col("low").alias("key"), "vector", "low", "high"))
 
-    Both sides are (id string, vector); an id has one vector. Equal vectors are taken together first, so copies cost
-    one look-up: their distance is 0 if they have two ids in ``b``, or another than the row's. The rest is found through balls around
-    pivots (``BallIndex``): no pairs of rows are emitted, and balls out of reach are not visited.
+
+def nearest_others(a: DataFrame, b: DataFrame, index: BallIndex | None = None) -> DataFrame:
+    """(vector, nearest): how far the nearest row of ``b`` with another id is from the rows of each vector of ``a``; null
+    without one.
+
+    Both sides come from ``distinct_vectors``, so copies cost one look-up: their distance is 0 if ``b`` has two ids with the
+    vector, or another than the row's. The rest is found through balls around pivots (``BallIndex``, of ``b``): no pairs of
+    rows are emitted, and balls out of reach are not visited.
     """
-    ends = [F.min("id").alias("low"), F.max("id").alias("high")]
-    of_a = checkpoint(a.groupBy("vector").agg(F.min("id").alias("key")).select(F.lit("").alias("part"), "key", "vector"))
-    of_b = checkpoint(b.groupBy("vector").agg(*ends))
-    if of_b.isEmpty():
-        return a.select("id", F.lit(None).cast("double").alias("nearest"))
-    index = BallIndex(of_b.select(F.lit("").alias("part"), F.col("low").alias("key"), "vector"))
-    found = index.nearest(of_a).select("key", "nearest")
-    known = of_a.join(found, "key").join(of_b, "vector", "left").select(F.col("vector").alias("v"), "nearest", "low", "high")
-    rows = a.join(small(checkpoint(known)), F.col("vector") == F.col("v"))
-    copied = F.col("low").isNotNull() & ((F.col("low") != F.col("id")) | (F.col("high") != F.col("id")))
-    return rows.select("id", F.when(copied, 0.0).otherwise(F.col("nearest")).alias("nearest"))
+    found = (index or BallIndex(b)).nearest(a).select("key", "nearest")
+    other = b.select(F.col("vector").alias("v"), F.col("low").alias("b_low"), F.col("high").alias("b_high"))
+    known = a.join(found, "key").join(other, F.col("vector") == F.col("v"), "left")
+    # A vector with one id in both tables meets only itself; with more, each of its rows meets another one.
+    single = (F.col("low") == F.col("high")) & (F.col("b_low") == F.col("b_high")) & (F.col("low") == F.col("b_low"))
+    copied = F.col("v").isNotNull() & ~single
+    return known.select("vector", F.when(copied, 0.0).otherwise(F.col("nearest")).alias("nearest"))
 
 
 def neighbour_diagnosis(
@@ -99,13 +101,24 @@ def neighbour_diagnosis(
     wanted = benign.count() if malicious_rows is None else malicious_rows
     drawn = pick_rows(malicious, wanted, keys, seed)
     few = [pick_rows(side, mean_rows, keys, seed).select(identity, vector.alias("vector")) for side in (benign, drawn)]
-    benign, drawn = (checkpoint(side.select(identity, vector.alias("vector"))) for side in (benign, drawn))
-    inside = nearest_others(benign, benign).agg(
-        F.min("nearest").alias("benign_nearest_min"), F.max("nearest").alias("benign_nearest_max"),
-        F.avg("nearest").alias("benign_nearest_mean"),
+    points = [side.select(identity, vector.alias("vector")) for side in (benign, drawn)]
+    # How many rows have each vector, for means over rows.
+    sizes = [side.groupBy("vector").agg(F.count(F.lit(1)).alias("rows")) for side in points]
+    (one, two), indexes = [distinct_vectors(side) for side in points], []
+    for side in (one, two):
+        indexes.append(None if side.isEmpty() else BallIndex(side))
+
+    def nearest(a: DataFrame, b: DataFrame, index: BallIndex | None, rows: DataFrame) -> DataFrame:
+        if index is None:
+            return a.select(F.lit(None).cast("double").alias("nearest"), F.lit(1).alias("rows"))
+        return nearest_others(a, b, index).join(rows, "vector").select("nearest", "rows")
+
+    average = F.sum(F.col("nearest") * F.col("rows")) / F.sum(F.when(F.col("nearest").isNotNull(), F.col("rows")))
+    inside = nearest(one, one, indexes[0], sizes[0]).agg(
+        F.min("nearest").alias("benign_nearest_min"), F.max("nearest").alias("benign_nearest_max"), average.alias("benign_nearest_mean")
     )
-    other = nearest_others(drawn, drawn).agg(F.avg("nearest").alias("malicious_nearest_mean"))
-    across = nearest_others(benign, drawn).agg(F.min("nearest").alias("cross_min"))
+    other = nearest(two, two, indexes[1], sizes[1]).agg(average.alias("malicious_nearest_mean"))
+    across = nearest(one, two, indexes[1], sizes[0]).agg(F.min("nearest").alias("cross_min"))
     mean = distances_to(*few).agg((F.sum("total") / F.sum("n")).alias("cross_mean"))
     parts = [part.unpivot([], part.columns, "metric", "value") for part in (inside, other, across, mean)]
     out = parts[0]

@@ -1,14 +1,11 @@
-"""Classifiers on Spark ML: kernel support vector machines and multilayer perceptrons."""
+"""Classifiers trained by full gradients: kernel support vector machines and multilayer perceptrons."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -25,38 +22,24 @@ from tabscope.operators.evaluate import (
 )
 from tabscope.operators.profile import class_weights
 from tabscope.operators.sampling import stratified_folds
-from tabscope.session import checkpoint
+from tabscope.operators.training import KernelSvm, Perceptron, few_tasks, gradient_sums, minimise
+from tabscope.session import checkpoint, ship, written
 
 # Fixed values.
 SVM_C = 10.0
 HIDDEN_LAYERS = (128, 64, 32)
 
-FITS_AT_ONCE = 4
-# Every training step is one job over all partitions; small training sets are kept in few partitions.
-TRAINING_ROWS_PER_PARTITION = 10_000
-
-
-def for_training(df: DataFrame) -> DataFrame:
-    """Fewer partitions when there are few rows; never more than before."""
-    return df.coalesce(max(1, math.ceil(df.count() / TRAINING_ROWS_PER_PARTITION)))
-
 
 def kernel_features(
     df: DataFrame, vector: str, out: str, size: int, dimensions: int, gamma: float, seed: int
 ) -> DataFrame:
-    """Random Fourier features of the RBF kernel (Rahimi and Recht, 2007).
-
-    Inner products of the ``dimensions`` new features approximate exp(-gamma |x-y|^2), so a linear model on
-    them stands in for a kernel model without any rows x rows matrix.
-    """
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(size, dimensions))
-    offsets = rng.uniform(0.0, 2.0 * math.pi, size=dimensions)
-    scale = math.sqrt(2.0 / dimensions)
+    """Random Fourier features of the RBF kernel (``KernelSvm``) as a column."""
+    model = KernelSvm(size, dimensions, 2, gamma, 0.0, seed)
+    ship(df.sparkSession)
 
     @F.pandas_udf("array<double>")
     def project(batch: pd.Series) -> pd.Series:
-        return pd.Series(list(scale * np.cos(np.stack(batch.to_numpy()) @ directions + offsets)))
+        return pd.Series(list(model.features(np.stack(batch.to_numpy()))))
 
     return df.withColumn(out, array_to_vector(project(vector_to_array(vector))))
 
@@ -67,39 +50,10 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
     return join_on(df, small(weights), [label])
 
 
-def fit_svm(
-    train: DataFrame, label: str, vector: str, classes: int, size: int, dimensions: int = 256,
-    seed: int = 42, c: float = SVM_C, iterations: int = 50,
-):
-    """Balanced RBF-like support vector machine on z-scored vectors; returns a function that scores a table.
-
-    ``gamma`` follows the 'scale' rule 1 / (features * variance), which is 1 / features after z-scoring.
-    """
-    gamma = 1.0 / size
-    mapped = kernel_features(train, vector, "_k", size, dimensions, gamma, seed)
-    weighted = checkpoint(with_class_weight(mapped.select(label, "_k"), label))
-    weighted = for_training(weighted).persist()
-    try:
-        rows = weighted.count()
-        svm = LinearSVC(
-            featuresCol="_k", labelCol=label, weightCol="weight", regParam=1.0 / (c * rows), maxIter=iterations
-        )
-        if classes > 2:
-            svm = OneVsRest(classifier=svm, featuresCol="_k", labelCol=label, weightCol="weight", parallelism=FITS_AT_ONCE)
-        model = svm.fit(weighted)
-    finally:
-        weighted.unpersist()
-
-    def score(rows: DataFrame) -> DataFrame:
-        return model.transform(kernel_features(rows, vector, "_k", size, dimensions, gamma, seed)).drop("_k")
-
-    return score
-
-
 def balanced_by_copies(df: DataFrame, label: str) -> DataFrame:
     """Repeat the rows of the smaller classes so that all classes weigh about the same.
 
-    The perceptron takes no weights. A row is repeated round(largest class / its class) times, which at most
+    For learners that take no weights. A row is repeated round(largest class / its class) times, which at most
     multiplies the largest class by the number of classes.
     """
     counts = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("_n"))
@@ -113,20 +67,83 @@ def balanced_by_copies(df: DataFrame, label: str) -> DataFrame:
     return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share")))).drop("_copy", "_copies", "_part", "_share")
 
 
-def fit_perceptron(
+def _training_rows(train: DataFrame, label: str, vector: str, weight: str | None, fold: str | None) -> DataFrame:
+    """x, y, w, fold of the training rows as a table that every pass reads: balanced class weights unless given."""
+    weighted = with_class_weight(train, label, "_w") if weight is None else train.withColumn("_w", col(weight))
+    return written(
+        weighted.select(
+            vector_to_array(vector).alias("x"), col(label).cast("long").alias("y"), F.col("_w").cast("double").alias("w"),
+            (F.lit(-2) if fold is None else col(fold)).cast("int").alias("fold"),
+        ),
+        "training",
+    )
+
+
+def fit_svm(
+    train: DataFrame, label: str, vector: str, classes: int, size: int, dimensions: int = 256,
+    seed: int = 42, c: float = SVM_C, iterations: int = 50,
+):
+    """Balanced RBF-like support vector machine on z-scored vectors; returns a function that scores a table.
+
+    ``gamma`` follows the 'scale' rule 1 / (features * variance), which is 1 / features after z-scoring. All classes are
+    fitted in the same passes. Scores are added as ``rawPrediction`` (two classes: of class 1) and ``prediction``.
+    """
+    rows = _training_rows(train, label, vector, None, None)
+    model = KernelSvm(size, dimensions, classes, 1.0 / size, 1.0 / (c * max(1, rows.count())), seed)
+    few = few_tasks(rows)
+    fitted = minimise(lambda p: gradient_sums(rows, model, p, [-1], few), model.start()[None], iterations)[0]
+
+    @F.pandas_udf("array<double>")
+    def scores(batch: pd.Series) -> pd.Series:
+        return pd.Series(list(model.scores(fitted, np.stack(batch.to_numpy()))))
+
+    def score(table: DataFrame) -> DataFrame:
+        ship(table.sparkSession)
+        scored = table.withColumn("_s", scores(vector_to_array(vector)))
+        if classes == 2:
+            prediction, raw = (F.col("_s")[0] > 0).cast("double"), F.col("_s")[0]
+        else:
+            prediction, raw = (F.array_position("_s", F.array_max("_s")) - 1).cast("double"), array_to_vector("_s")
+        return scored.withColumns({"rawPrediction": raw, "prediction": prediction}).drop("_s")
+
+    return score
+
+
+def fit_perceptrons(
     train: DataFrame, label: str, vector: str, classes: int, size: int, seed: int = 42, iterations: int = 50,
-    hidden: Sequence[int] = HIDDEN_LAYERS,
+    hidden: Sequence[int] = HIDDEN_LAYERS, weight: str | None = None, fold: str | None = None, folds: int = 1,
 ):
-    """Multilayer perceptron on class-balanced rows."""
-    layers = [size, *hidden, classes]
-    network = MultilayerPerceptronClassifier(
-        featuresCol=vector, labelCol=label, layers=layers, seed=seed, maxIter=iterations
-    )
-    rows = for_training(balanced_by_copies(train.select(label, vector), label)).persist()
-    try:
-        return network.fit(rows)
-    finally:
-        rows.unpersist()
+    """Perceptrons with weighted cross-entropy; with ``fold`` one for each fold, which does not see it, in the same passes.
+
+    Weights are the balanced ones of the classes, or the column ``weight``. Returns a function (table, number) that adds
+    ``probability``, ``rawPrediction`` and ``prediction`` of the numbered network.
+    """
+    rows = _training_rows(train, label, vector, weight, fold)
+    model = Perceptron([size, *hidden, classes])
+    held = [-1] if fold is None else list(range(folds))
+    start = np.stack([model.start(seed)] * len(held))
+    few = few_tasks(rows)
+    fitted = minimise(lambda p: gradient_sums(rows, model, p, held, few), start, iterations)
+
+    def score(table: DataFrame, number: int = 0) -> DataFrame:
+        parameters = fitted[number]
+        ship(table.sparkSession)
+
+        @F.pandas_udf("array<double>")
+        def logs(batch: pd.Series) -> pd.Series:
+            return pd.Series(list(model.log_probabilities(parameters, np.stack(batch.to_numpy()))))
+
+        scored = table.withColumn("_l", logs(vector_to_array(vector)))
+        best = (F.array_position("_l", F.array_max("_l")) - 1).cast("double")
+        added = {"rawPrediction": array_to_vector("_l"), "probability": array_to_vector(F.transform("_l", F.exp)), "prediction": best}
+        return scored.withColumns(added).drop("_l")
+
+    return score
+
+
+def fit_perceptron(train: DataFrame, label: str, vector: str, classes: int, size: int, **options):
+    """One class-balanced perceptron; returns a function that scores a table."""
+    return fit_perceptrons(train, label, vector, classes, size, **options)
 
 
 def log_loss(scored: DataFrame, label: str) -> DataFrame:
@@ -166,25 +183,18 @@ def perceptron_folds(
     seed: int = 42, iterations: int = 50,
 ) -> DataFrame:
     """(fold, metric, value) of a stratified cross-validation, with loss, AUC (binary) and training accuracy."""
-    parts = checkpoint(stratified_folds(train, label, keys, folds, seed)).persist()
-
-    def one(fold: int) -> DataFrame:
-        fitting, validation = parts.where(F.col("fold") != fold), parts.where(F.col("fold") == fold)
-        model = fit_perceptron(fitting, label, vector, classes, size, seed, iterations)
-        scored = model.transform(validation)
-        fitted = model.transform(fitting).agg(F.avg((col(label) == F.col("prediction")).cast("double")).alias("value"))
-        metrics = model_metrics(scored, label, classes == 2).unionByName(log_loss(scored, label))
+    parts = written(stratified_folds(train, label, keys, folds, seed), "folds")
+    score = fit_perceptrons(parts, label, vector, classes, size, seed, iterations, fold="fold", folds=folds)
+    result = None
+    for fold in range(folds):
+        scored = checkpoint(score(parts, fold))
+        inside, outside = scored.where(F.col("fold") != fold), scored.where(F.col("fold") == fold)
+        fitted = inside.agg(F.avg((col(label) == F.col("prediction")).cast("double")).alias("value"))
+        metrics = model_metrics(outside, label, classes == 2).unionByName(log_loss(outside, label))
         metrics = metrics.unionByName(fitted.select(F.lit("train_accuracy").alias("metric"), "value"))
-        return checkpoint(metrics.select(F.lit(fold).alias("fold"), "metric", "value"))
-
-    try:
-        with ThreadPoolExecutor(FITS_AT_ONCE) as threads:
-            done = list(threads.map(one, range(folds)))
-    finally:
-        parts.unpersist()
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part)
+        metrics = metrics.select(F.lit(fold).alias("fold"), "metric", "value")
+        result = metrics if result is None else result.unionByName(metrics)
+    result = checkpoint(result)
     return result.unionByName(generalization_gap(result))
 
 
@@ -200,5 +210,5 @@ def evaluate_perceptron(
 ) -> DataFrame:
     """(metric, value) of a perceptron fitted on ``train`` and scored on rows it has not seen."""
     model = fit_perceptron(train, label, vector, classes, size, **options)
-    scored = model.transform(test)
+    scored = checkpoint(model(test))
     return model_metrics(scored, label, classes == 2).unionByName(log_loss(scored, label))

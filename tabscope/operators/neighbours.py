@@ -170,7 +170,7 @@ class BallIndex:
         schema = "key string, nearest double"
         best = lambda df: df.groupBy("key").agg(F.min("nearest").alias("nearest"))
         far = F.lit(float("inf"))
-        home = checkpoint(best(self._met(queries.withColumn("reach", far), "only", found, schema)))
+        home = best(self._met(queries.withColumn("reach", far), "only", found, schema))
         placed = queries.join(home, "key", "left").withColumn("reach", F.coalesce("nearest", far)).drop("nearest")
         placed = checkpoint(placed)
         away = self._met(placed, "not", found, schema)
