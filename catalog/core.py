@@ -81,6 +81,16 @@ def numeric_columns_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.column_listing(table(spark, sf_dir, "lineitem")).drop("dtype")
 
 
+@query(f"""
+WITH {GAPS}, types AS (SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name AS "column", column_type AS t
+  FROM (DESCRIBE SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_quantity AS quantity, l_discount AS discount FROM lineitem)),
+counts AS ({" UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) AS present FROM gaps" for c in [*KEYS, "l_returnflag", "quantity", "discount"])})
+SELECT position, "column", CASE t WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS dtype,
+  t <> 'VARCHAR' AS is_numeric, present FROM types JOIN counts ON c = "column\"""")
+def column_listing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.present_counts(gaps(spark, sf_dir))
+
+
 @query("SELECT * EXCLUDE (l_shipdate, l_linestatus) FROM lineitem")
 def drop_named_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.drop_columns(table(spark, sf_dir, "lineitem"), ["l_shipdate", "l_linestatus", "no_such_column"])

@@ -10,7 +10,8 @@ from pyspark.sql.functions import unwrap_udt
 
 from catalog.views import BASIC, KEYS, LI, NUMERIC, PORTS, digest_sql, emb, li, long_sql, ports, registrar, rounded, table
 from tabscope.operators import columns, distances, encode, evaluate, models, sampling, training
-from tabscope.session import checkpoint
+from tabscope.session import checkpoint, scratch_path
+from tabscope.sources import sinks
 
 REGISTRY: dict = {}
 query = registrar(REGISTRY)
@@ -156,6 +157,44 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_matrix(ruled(spark, sf_dir), "l_returnflag", "said")
 
 
+@query(f"""
+WITH ruled AS (SELECT o_custkey AS actual, o_custkey + (o_orderkey % 4 = 0)::INTEGER AS said FROM orders), {_report('ruled', 'actual', 'said')}
+SELECT {ROUNDED_REPORT} FROM report""")
+def sparse_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over as many classes as customers, from the pairs that occur."""
+    wrong = (F.col("o_orderkey") % 4 == 0).cast("int")
+    said = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("actual"), (F.col("o_custkey") + wrong).alias("said"))
+    return rounded(evaluate.class_report(evaluate.confusion_counts(said, "actual", "said")), 6, "precision", "recall", "f1")
+
+
+TESTED = "o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'"
+TRAINED = "o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'"
+
+
+@query(f"""
+WITH expected AS (SELECT DISTINCT o_orderpriority AS class FROM orders UNION SELECT '0-NEVER'),
+ruled AS (SELECT o_orderpriority AS actual, CASE WHEN o_totalprice > 200000 THEN '2-HIGH' ELSE o_orderpriority END AS said
+  FROM orders WHERE {TESTED} AND o_orderpriority <> '4-NOT SPECIFIED'), {_report('ruled', 'actual', 'said')},
+trained AS (SELECT o_orderpriority AS class, count(*) AS training_samples FROM orders WHERE {TRAINED} GROUP BY 1)
+SELECT 'orders' AS dataset, 'multiclass' AS task, class,
+  CASE WHEN coalesce(support, 0) > 0 THEN 'tested' WHEN coalesce(training_samples, 0) > 0 THEN 'training_only'
+    WHEN support IS NOT NULL THEN 'predicted_only' ELSE 'missing' END AS status,
+  round(coalesce(precision, 0), 6) + 0.0 AS precision, round(coalesce(recall, 0), 6) + 0.0 AS recall, round(coalesce(f1, 0), 6) + 0.0 AS f1,
+  coalesce(support, 0) AS support, coalesce(training_samples, 0) AS training_samples
+FROM expected FULL JOIN report USING (class) FULL JOIN trained USING (class)""")
+def classify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of every class by a rule, written as nested JSON and read again."""
+    orders = table(spark, sf_dir, "orders")
+    said = F.when(F.col("o_totalprice") > 200000, "2-HIGH").otherwise(F.col("o_orderpriority"))
+    test = orders.where(TESTED).where("o_orderpriority <> '4-NOT SPECIFIED'").withColumn("said", said)
+    never = orders.agg(F.lit("0-NEVER").alias("o_orderpriority"))
+    expected = orders.select("o_orderpriority").distinct().union(never)
+    results = evaluate.class_results(test, orders.where(TRAINED), "o_orderpriority", "said", expected)
+    path = scratch_path(spark, "report")
+    sinks.write_class_json(results.select(F.lit("orders").alias("dataset"), F.lit("multiclass").alias("task"), "*"), path)
+    return rounded(sinks.read_class_json(spark, path), 6, "precision", "recall", "f1")
+
+
 @query(f"""
 WITH {RULED}, holes AS (SELECT nullif(l_returnflag, 'A') AS actual, nullif(said, 'N') AS predicted FROM ruled),
 classes AS (SELECT actual AS c FROM holes UNION SELECT predicted FROM holes)

@@ -25,6 +25,13 @@ def column_listing(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string, is_numeric boolean")
 
 
+def present_counts(df: DataFrame) -> DataFrame:
+    """``column_listing`` with ``present``, the number of rows with a value: one aggregate over all columns."""
+    counts = df.agg(*[F.count(col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("present")) for i, c in enumerate(df.columns)])
+    return column_listing(df).join(counts.select(F.inline(pairs)), "column")
+
+
 def safe_names(df: DataFrame) -> DataFrame:
     """(column, safe): every column name with its form for files and identifiers."""
     names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")

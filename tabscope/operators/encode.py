@@ -152,6 +152,10 @@ class Preprocessor:
             parts += port_category(col(c), c) if self.simple_ports else port_flags(col(c), c)
         return parts
 
+    def width(self) -> int:
+        """Entries of the vector."""
+        return len(self.dense()) + sum(self._sizes[c] for c in self.one_hot_columns if c in self._sizes)
+
     def columns(self) -> list[Column]:
         """Every entry of the vector as an expression over ``coded``; ``transform`` does without the one-hot ones."""
         names = self._named()

@@ -22,11 +22,17 @@ MIN_CLASSES_FOR_EXTREMES = 7
 EXTREME_CLASSES = 3
 
 
+def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """(actual, predicted, count) for the pairs of classes that occur; a null is a class.
+
+    Reports and metrics need no more: their sums run over these rows, however many classes there are.
+    """
+    return df.groupBy(col(label).alias("actual"), col(prediction).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(actual, predicted, count) for every pair of occurring classes, zeros included; a null is a class."""
-    counts = df.groupBy(col(label).alias("actual"), col(prediction).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    """``confusion_counts`` with a zero for every other pair of occurring classes: for few classes, to be shown as a grid."""
+    counts = confusion_counts(df, label, prediction)
     found = counts.select(F.col("actual").alias("c")).union(counts.select("predicted")).distinct()
     # One row that holds the list of classes (a null among them, wrapped), unfolded along both axes.
     classes = found.agg(F.sort_array(F.collect_list(F.struct("c"))).alias("cs"))
@@ -77,7 +83,7 @@ def report_with_training_only(
     test: DataFrame, train: DataFrame, label: str, prediction: str
 ) -> DataFrame:
     """Class report of the test rows; classes that only train get zeros and their training row count."""
-    report = class_report(confusion_matrix(test, label, prediction)).where(F.col("support") > 0)
+    report = class_report(confusion_counts(test, label, prediction)).where(F.col("support") > 0)
     trained = train.groupBy(col(label).alias("class")).agg(F.count(F.lit(1)).alias("_rows"))
     only = F.col("support").isNull()
     joined = report.join(trained, "class", "full")
@@ -90,6 +96,30 @@ def report_with_training_only(
     )
 
 
+def class_results(test: DataFrame, train: DataFrame, label: str, prediction: str, classes: DataFrame) -> DataFrame:
+    """(class, status, precision, recall, f1, support, training_samples) of every class that there is or should be.
+
+    ``classes`` has the expected ones in its first column. Status is ``tested``, ``training_only`` (no test row), ``predicted_only`` (neither,
+    but given as a prediction) or ``missing`` (expected, but nowhere). Classes without test rows have zeros. Rows per class only.
+    """
+    report = class_report(confusion_counts(test, label, prediction)).withColumnRenamed("support", "_support")
+    trained = train.groupBy(col(label).alias("class")).agg(F.count(F.lit(1)).alias("_trained"))
+    known = join_on(trained, report, ["class"], "left_anti").select("class")
+    expected = classes.select(col(classes.columns[0]).alias("class")).distinct()
+    absent = join_on(join_on(expected, report, ["class"], "left_anti"), known, ["class"], "left_anti")
+    rows = report.unionByName(known.unionByName(absent), allowMissingColumns=True)
+    joined = join_on(rows, trained, ["class"], "left")
+    support, training = F.coalesce("_support", F.lit(0)), F.coalesce("_trained", F.lit(0))
+    status = (
+        F.when(support > 0, "tested").when(training > 0, "training_only")
+        .when(F.col("_support").isNotNull(), "predicted_only").otherwise("missing")
+    )
+    return joined.select(
+        "class", status.alias("status"), *[F.coalesce(m, F.lit(0.0)).alias(m) for m in ("precision", "recall", "f1")],
+        support.cast("long").alias("support"), training.cast("long").alias("training_samples"),
+    )
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """(rows, auc): exact area under the ROC curve, ties counted half.
 

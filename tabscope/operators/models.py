@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabscope.functions.aggregates import join_on, small
 from tabscope.functions.scalars import col
 from tabscope.operators.evaluate import (
-    confusion_matrix,
+    confusion_counts,
     fold_summary,
     generalization_gap,
     class_report,
@@ -157,7 +157,7 @@ def log_loss(scored: DataFrame, label: str) -> DataFrame:
 def model_metrics(scored: DataFrame, label: str, binary: bool) -> DataFrame:
     """(metric, value) of a scored table: overall metrics, and for binary labels per side and the AUC."""
     predictions = scored.select(col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))
-    confusion = checkpoint(confusion_matrix(predictions, "y", "p"))
+    confusion = checkpoint(confusion_counts(predictions, "y", "p"))
     result = overall_metrics(confusion)
     if binary:
         sides = class_report(confusion)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabscope.functions.scalars import col, encode_label_tolerant
-from tabscope.operators import association, cluster_sampling, columns, correlate, evaluate, models, profile, quality, reduce, sampling, select
-from tabscope.operators.encode import Preprocessor, label_index
+from tabscope.operators import association, cluster_sampling, columns, correlate, distances, evaluate, models, profile, quality, reduce, sampling, select
+from tabscope.operators.encode import Preprocessor, complete, label_index, standard_scale
 from tabscope.session import checkpoint
 from tabscope.sources import sinks
 
@@ -87,6 +87,20 @@ def reduce_table(
     return result
 
 
+def spark_values(spark: SparkSession, values: Sequence[str]) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias("class"))
+
+
+def diagnose(split: DataFrame, keys: Sequence[str], out: str, seed: int) -> None:
+    """After the binary task: features whose class means differ most, and distances within and between the sides."""
+    features = columns.numeric_columns(split, exclude=[*keys, "_binary", "_class"])
+    sinks.write_csv(evaluate.mean_differences(split, features, "_binary"), f"{out}/means", single=True)
+    scaled = standard_scale(split.withColumns({c: complete(col(c)) for c in features}), features)
+    vector = F.array(*[complete(col(c)) for c in features])
+    distinct = scaled.dropDuplicates(list(keys))
+    sinks.write_csv(distances.neighbour_diagnosis(distinct, "_binary", keys, vector, seed), f"{out}/distances", single=True)
+
+
 def classify_samples(
     samples: dict[str, DataFrame], keys: Sequence[str], out: str, label: str = "Label",
     class_column: str = "Traffic Type", preprocessor: Preprocessor | None = None, iterations: int = 50,
@@ -95,11 +109,19 @@ def classify_samples(
     """Stage 3: perceptrons and support vector machines on each sample, binary and multiclass.
 
     A preprocessor is fitted for each sample and task, on its own training rows. Copies made by a rare-class
-    top-up can fall on both sides of a split. Returns (task, model, dataset, metric, value).
+    top-up have the key of their original and so fall on the same side of a split. Beside the metrics there are, per class,
+    the results of the support vector machines as nested JSON, with classes that only train or are missing from a sample
+    though another has them, the best and worst classes, and for the binary task what tells its sides apart.
+    Returns (task, model, dataset, metric, value).
     """
-    parts = []
+    parts, reports = [], []
     # A column that is constant in one sample is missing there; only shared columns are encoded.
     shared = set.intersection(*[set(s.columns) for s in samples.values()])
+    everywhere = None
+    for sample in samples.values():
+        found = sample.select(col(class_column).alias("class")).distinct()
+        everywhere = found if everywhere is None else everywhere.union(found)
+    everywhere = checkpoint(everywhere.distinct())
     for name, sample in samples.items():
         sample = sample.select(*[col(c) for c in sample.columns if c in shared])
         numeric = dict(sample.dtypes)[label] != "string"
@@ -113,9 +135,29 @@ def classify_samples(
             fitted.fit(split.where(F.col("split") == "train"))
             vectors = checkpoint(fitted.transform(split, keep=[*keys, target, "split"]))
             train, test = (vectors.where(F.col("split") == s) for s in ("train", "test"))
-            size = len(fitted.columns())
+            size = fitted.width()
+            machine = models.fit_svm(train, target, "features", count, size, seed=seed, iterations=iterations)
+            scored = checkpoint(machine(test))
+            if task == "multiclass":
+                names = coded.select(F.col("_class").alias("code"), col(class_column).alias("class")).distinct()
+                named = lambda rows, code: rows.join(names, F.col(code) == F.col("code")).select("class")
+                said = scored.withColumnRenamed("_class", "_true").join(names.select(F.col("code").alias("_t"), F.col("class").alias("actual")), F.col("_true") == F.col("_t"))
+                said = said.join(names.select(F.col("code").alias("_p"), F.col("class").alias("said")), F.col("prediction") == F.col("_p"))
+                trained = named(train, "_class").withColumnRenamed("class", "actual")
+                expected = everywhere
+            else:
+                said, trained = (rows.withColumn("actual", F.col("_binary").cast("string")) for rows in (scored, train))
+                said = said.withColumn("said", F.col("prediction").cast("int").cast("string"))
+                expected = spark_values(sample.sparkSession, ["0", "1"])
+                diagnose(split, keys, f"{out}/diagnosis_{name}", seed)
+            report = checkpoint(evaluate.class_results(said, trained, "actual", "said", expected))
+            reports.append(report.select(F.lit(name).alias("dataset"), F.lit(task).alias("task"), "*"))
+            extremes = evaluate.f1_extremes(report.where("support > 0"))
+            sinks.write_csv(extremes, f"{out}/{task}_{name}_extremes", single=True)
+            absent = sampling.missing_classes(expected, trained.select(F.col("actual").alias(expected.columns[0])), expected.columns[0])
+            sinks.write_csv(absent, f"{out}/{task}_{name}_missing_classes", single=True)
             results = {
-                "svm": models.evaluate_svm(train, test, target, "features", count, size, seed=seed, iterations=iterations),
+                "svm": models.model_metrics(scored, target, count == 2),
                 "perceptron": models.evaluate_perceptron(
                     train, test, target, "features", count, size, seed=seed, iterations=iterations
                 ),
@@ -142,5 +184,9 @@ def classify_samples(
     ):
         svm = result.where((F.col("task") == task) & (F.col("model") == "svm"))
         sinks.write_csv(evaluate.results_table(svm, names), f"{out}/{task}_results", single=True)
+    every = reports[0]
+    for report in reports[1:]:
+        every = every.unionByName(report)
+    sinks.write_class_json(every, f"{out}/class_results")
     sinks.write_metrics_json(result, f"{out}/detailed_results", by=("task", "model", "dataset"))
     return result

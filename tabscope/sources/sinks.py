@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabscope.functions.scalars import col
@@ -55,6 +55,25 @@ def write_metrics_json(metrics: DataFrame, path: str, by: Sequence[str] = ("task
     nested.coalesce(1).write.mode("overwrite").json(path)
 
 
+CLASS_METRICS = "struct<status:string,precision:double,recall:double,f1:double,support:bigint,training_samples:bigint>"
+
+
+def write_class_json(results: DataFrame, path: str, by: Sequence[str] = ("dataset", "task")) -> None:
+    """Rows (by..., class, metrics...) as one JSON object per group, with an object of metrics for each class nested in it."""
+    metrics = F.struct(*[col(c) for c in results.columns if c not in (*by, "class")])
+    # A name is given to a missing class, because keys of objects cannot be null.
+    entry = F.struct(F.coalesce(F.col("class").cast("string"), F.lit("null")).alias("class"), metrics.alias("metrics"))
+    nested = results.groupBy(*[col(b) for b in by]).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("classes"))
+    nested.write.mode("overwrite").json(path)
+
+
+def read_class_json(spark: SparkSession, path: str, by: Sequence[str] = ("dataset", "task")) -> DataFrame:
+    """The rows of ``write_class_json`` again, with the metrics of ``evaluate.class_results``."""
+    schema = ", ".join([*[f"`{b}` string" for b in by], f"classes map<string,{CLASS_METRICS}>"])
+    rows = spark.read.schema(schema).json(path).select(*[col(b) for b in by], F.explode("classes").alias("class", "m"))
+    return rows.select(*[col(b) for b in by], "class", "m.*")
+
+
 def group_lines(groups: DataFrame) -> DataFrame:
     """One line per feature group with its members in name order."""
     members = F.array_join(F.array_sort(F.collect_list("feature")), ", ")
