@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,8 @@ from tabscope.llm.frames import stored
 MARGINS = ("source", "lang", "topic")
 # Without given targets a category of share s is wanted with a share in proportion to s ** POWER.
 POWER = 0.8
-ROUNDS = 8
+# Raking ends when every margin is met to this relative error, or with a warning after so many rounds.
+TOLERANCE, MAX_ROUNDS = 1e-4, 300
 SEED = "mix"
 
 # The topic of a text is that of the first rule whose expression it contains.
@@ -49,12 +51,13 @@ def _matched(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFr
 
 def rake(
     cells: DataFrame, margins: tuple[str, ...] = MARGINS, targets: Mapping[str, Mapping[str | None, float]] | None = None,
-    power: float = POWER, rounds: int = ROUNDS,
+    power: float = POWER, tolerance: float = TOLERANCE, rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
     """``cells`` (margins, ``tokens``) with ``weight``: the share of tokens that meets all target marginals.
 
     Iterative proportional fitting: each step scales the weights of a margin's categories to their targets, starting
-    from the shares as they are. ``targets`` gives wanted weights by margin and category, normalised over the
+    from the shares as they are, until all margins are met within ``tolerance``. Targets that no weights of the given cells
+    meet together end after ``rounds`` with a warning. ``targets`` gives wanted weights by margin and category, normalised over the
     categories present; a category without one is wanted with 0. Other margins get their share to the ``power``.
     Sums are combined before they are moved, so a margin with few categories is no bottleneck. A null is a
     category. Cells without tokens keep weight 0.
@@ -75,13 +78,21 @@ def rake(
         rows = _matched(rows, shares, (margin,))
     rows = stored(rows, "cells")
     for _ in range(rounds):
+        rows = rows.withColumn("off", F.lit(0.0))
         for k, margin in enumerate(margins):
             sums = rows.groupBy(margin).agg(F.sum("weight").alias("sum"))
-            scaled = F.col("weight") * F.col(f"target_{k}") / F.col("sum")
+            target = F.col(f"target_{k}")
+            scaled = F.col("weight") * target / F.col("sum")
             rows = _matched(rows, sums, (margin,))
+            error = F.abs(F.col("sum") - target) / F.when(target > 0, target).otherwise(1.0)
+            rows = rows.withColumn("off", F.greatest("off", F.when(F.col("sum") > 0, error).otherwise(0.0)))
             rows = rows.withColumn("weight", F.when(F.col("sum") > 0, scaled).otherwise(0.0)).drop("sum")
         rows = stored(rows, "cells")
-    return rows.drop(*[f"target_{k}" for k in range(len(margins))])
+        if (rows.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+            break
+    else:
+        warnings.warn("raking ended before all targets were met; they may contradict each other", stacklevel=2)
+    return rows.drop("off", *[f"target_{k}" for k in range(len(margins))])
 
 
 def draw(doc_id: Column, seed: str = SEED) -> Column:
@@ -92,7 +103,7 @@ def draw(doc_id: Column, seed: str = SEED) -> Column:
 
 def mix_documents(
     docs: DataFrame, topic: Column | None = None, tokens: Column | None = None, margins: tuple[str, ...] = MARGINS,
-    targets: Mapping[str, Mapping[str | None, float]] | None = None, power: float = POWER, rounds: int = ROUNDS,
+    targets: Mapping[str, Mapping[str | None, float]] | None = None, power: float = POWER, tolerance: float = TOLERANCE,
     fraction: float = 1.0, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with ``topic``, ``tokens``, ``ratio``, ``probability``, ``sampled`` and ``copies``; replaces columns of these names.
@@ -109,7 +120,7 @@ def mix_documents(
     rows = docs.withColumns({"topic": topic, "tokens": tokens})
     cells = rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens"))
     cells = stored(cells, "cells")
-    raked = stored(rake(cells, margins, targets, power, rounds), "raked")
+    raked = stored(rake(cells, margins, targets, power, tolerance), "raked")
     total = float(max(cells.agg(F.sum("tokens")).first()[0] or 0, 1))
     ratio = F.when(F.col("tokens") > 0, F.col("weight") * F.lit(total) / F.col("tokens")).otherwise(F.lit(1.0))
     found = small(raked.select(*margins, ratio.alias("ratio")))
@@ -120,26 +131,32 @@ def mix_documents(
     return rows.withColumn("sampled", drawn < F.col("probability")).withColumn("copies", copies)
 
 
-def sql(power: float = POWER, rounds: int = ROUNDS) -> str:
+def sql(power: float = POWER, tolerance: float = TOLERANCE, rounds: int = 24) -> str:
+    """The same rounds, of which those after the one that met the tolerance change nothing."""
     rules = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{name}'" for name, p in TOPICS.items())
     parts = [f"""docs AS (SELECT doc_id, source, lang, CASE {rules} ELSE '{OTHER_TOPIC}' END AS topic,
       ceil(coalesce(strlen(text), 0) / 4)::BIGINT AS tokens FROM documents),
     cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL),
-    w0 AS (SELECT *, tokens / greatest(sum(tokens) OVER (), 1) AS weight FROM cells),"""]
+    w0 AS (SELECT *, tokens / greatest(sum(tokens) OVER (), 1) AS weight, 0::DOUBLE AS off, false AS done FROM cells),"""]
     for k, margin in enumerate(MARGINS):
         parts.append(f"""t{k} AS (SELECT {margin}, pow(sum(weight), {power}) AS wanted FROM w0 GROUP BY ALL),
     n{k} AS (SELECT {margin}, wanted / sum(wanted) OVER () AS target FROM t{k}),""")
-    step = 0
-    for _ in range(rounds):
+    last = "w0"
+    for r in range(1, rounds + 1):
         for k, margin in enumerate(MARGINS):
-            parts.append(f"""w{step + 1} AS (SELECT c.source, c.lang, c.topic, c.tokens,
-      coalesce(c.weight * n.target / nullif(sum(c.weight) OVER (PARTITION BY c.{margin}), 0), 0) AS weight
-      FROM w{step} c JOIN n{k} n ON c.{margin} IS NOT DISTINCT FROM n.{margin}),""")
-            step += 1
+            parts.append(f"""w{r}_{k} AS (SELECT source, lang, topic, tokens, done,
+      greatest(off, CASE WHEN s > 0 THEN abs(s - target) / CASE WHEN target > 0 THEN target ELSE 1 END ELSE 0 END) AS off,
+      CASE WHEN done THEN weight WHEN s > 0 THEN weight * target / s ELSE 0 END AS weight
+      FROM (SELECT c.*, n.target, sum(c.weight) OVER (PARTITION BY c.{margin}) AS s
+        FROM {last} c JOIN n{k} n ON c.{margin} IS NOT DISTINCT FROM n.{margin})),""")
+            last = f"w{r}_{k}"
+        parts.append(f"w{r} AS (SELECT * EXCLUDE (off, done), 0::DOUBLE AS off, done OR max(off) OVER () <= {tolerance} AS done FROM {last}),")
+        last = f"w{r}"
     return f"""WITH {" ".join(parts)}
-    r AS (SELECT *, CASE WHEN tokens > 0 THEN weight * (sum(tokens) OVER ()) / tokens ELSE 1.0 END AS ratio FROM w{step}),
-    p AS (SELECT d.*, r.ratio, least(1.0, r.ratio) AS probability FROM docs d JOIN r
+    r AS (SELECT *, CASE WHEN tokens > 0 THEN weight * (sum(tokens) OVER ()) / tokens ELSE 1.0 END AS ratio FROM {last}),
+    p AS (SELECT d.*, r.ratio, least(1.0, r.ratio) AS probability,
+      ('0x' || substr(md5('{SEED}' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS drawn FROM docs d JOIN r
       ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic = r.topic)
     SELECT doc_id, source, lang, topic, tokens, round(ratio, 6) AS ratio, round(probability, 6) AS probability,
-      ('0x' || substr(md5('{SEED}' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS sampled
+      drawn < probability AS sampled, (floor(ratio) + (drawn < ratio - floor(ratio))::INTEGER)::BIGINT AS copies
     FROM p"""

@@ -97,7 +97,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(read(spark, sf_dir, "documents"))
     return mixed.select(
         "doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"),
-        F.round("probability", 6).alias("probability"), "sampled",
+        F.round("probability", 6).alias("probability"), "sampled", "copies",
     )
 
 
