@@ -7,8 +7,10 @@ d x d sums per task, against thousands of separate aggregates for the SQL form.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 from tabscope.functions.aggregates import safe_corr
 from tabscope.functions.scalars import col, encode_label
 from tabscope.operators.columns import dictionary, dictionary_encode, drop_columns, numeric_columns
-from tabscope.operators.profile import variances
+from tabscope.operators.neighbours import matrix
+from tabscope.operators.profile import to_long, variances
+from tabscope.session import checkpoint, ship
 
 # Fixed values.
 HIGH_CORRELATION = 0.7
@@ -30,6 +34,10 @@ STATISTICS = ("mean", "std", "min", "p25", "p50", "p75", "max")
 DESCRIBE_ROWS = ("count", "null_count", "mean", "std", "min", "p25", "p50", "p75", "max")
 AGGREGATES = ("mean", "std", "min", "max")
 
+# Columns of a tile, and products that a task holds before it passes them on.
+TILE = 256
+PRODUCTS_HELD = 1 << 22
+
 LONG_SCHEMA = "position1 int, position2 int, feature1 string, feature2 string, r double"
 
 
@@ -217,12 +225,84 @@ def aggregate_statistic_correlation(described: DataFrame) -> DataFrame:
     return _pairwise(summary.unpivot(["feature"], list(AGGREGATES), "statistic", "value"))
 
 
+def group_products(df: DataFrame, members: dict[int, list[str]], centres: dict[str, float]) -> DataFrame:
+    """(g, i, j, total): for each group, sums over its complete rows of the products of its columns i <= j, less their centres.
+
+    One column more than a group has, the last, is 1, so its products are the sums and the number of rows. Products are made in
+    tiles of ``TILE`` x ``TILE`` columns within a group and passed on as soon as a task holds ``PRODUCTS_HELD`` of them, so neither a
+    task nor the driver holds a whole matrix, and the work follows the squares of the groups' sizes.
+    """
+    ship(df.sparkSession)
+    names = list(dict.fromkeys(c for columns in members.values() for c in columns))
+    place = {g: [names.index(c) for c in columns] for g, columns in members.items()}
+    middle = np.array([centres.get(c) or 0.0 for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int, int], np.ndarray] = {}
+        size = 0
+        for batch in batches:
+            x = matrix(batch.column("x")) - middle if batch.num_rows else np.zeros((0, len(names)))
+            for g, columns in place.items():
+                part = x[:, columns]
+                part = np.column_stack([part, np.ones(len(part))])[~np.isnan(part).any(1)]
+                for a in range(0, part.shape[1], TILE):
+                    for b in range(a, part.shape[1], TILE):
+                        products = part[:, a : a + TILE].T @ part[:, b : b + TILE]
+                        if (g, a, b) in held:
+                            held[g, a, b] += products
+                        else:
+                            held[g, a, b] = products
+                            size += products.size
+                    if size > PRODUCTS_HELD:
+                        yield from _products(held)
+                        held, size = {}, 0
+        yield from _products(held)
+
+    rows = df.select(F.array(*[F.nanvl(col(c).cast("double"), F.lit(None)) for c in names]).alias("x"))
+    sums = rows.mapInArrow(run, "g int, i int, j int, total double")
+    return sums.groupBy("g", "i", "j").agg(F.sum("total").alias("total"))
+
+
+def _products(held: dict[tuple[int, int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for (g, a, b), products in held.items():
+        i, j = (x.ravel() for x in np.indices(products.shape))
+        upper = np.flatnonzero(a + i <= b + j)
+        ids = [np.full(len(upper), g), a + i[upper], b + j[upper]]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)) for c in ids] + [pa.array(products.ravel()[upper])], ["g", "i", "j", "total"])
+
+
 def group_correlation(df: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pearson r between the columns of each named group: one matrix pass over all named columns."""
-    wanted = {r["feature"] for r in groups.select("feature").distinct().collect()}
-    features = [c for c in numeric_columns(df) if c in wanted]
-    long = correlation_long(df, features, "zero")
-    first = groups.select("group", F.col("feature").alias("feature1"))
-    second = groups.select(F.col("group").alias("_g2"), F.col("feature").alias("feature2"))
-    same = long.join(first, "feature1").join(second, "feature2").where(F.col("group") == F.col("_g2"))
-    return same.select("group", "feature1", "feature2", "r")
+    """(group, feature1, feature2, r): Pearson r between the numeric columns of each named group, both orders and the diagonal.
+
+    Constant columns are left out; rows with a gap in a group do not count for it. Only what groups ask for is computed, in one
+    pass (``group_products``). Without complete rows, and for columns that are constant in them, r is null.
+    """
+    spark = df.sparkSession
+    asked = sorted({(r["group"], r["feature"]) for r in groups.select("group", "feature").distinct().collect()})
+    numeric = numeric_columns(df)
+    wanted = {f for _, f in asked}
+    varying = set(varying_columns(df, [c for c in numeric if c in wanted], "zero"))
+    named = dict(enumerate(dict.fromkeys(g for g, _ in asked)))
+    members = {k: [c for c in numeric if c in varying and (g, c) in set(asked)] for k, g in named.items()}
+    members = {k: columns for k, columns in members.items() if columns}
+    if not members:
+        return spark.createDataFrame([], "group string, feature1 string, feature2 string, r double")
+    means = to_long(df, sorted(varying)).where(~F.isnan("value")).groupBy("feature").agg(F.avg("value").alias("m"))
+    sums = checkpoint(group_products(df, members, {r["feature"]: r["m"] for r in means.collect()}))
+    last = F.element_at(F.lit([len(members.get(k, ())) for k in named]), F.col("g") + 1)
+    rows = sums.where((F.col("i") == last) & (F.col("j") == last)).select("g", F.col("total").alias("n"))
+    ones = sums.where((F.col("j") == last) & (F.col("i") < last)).select("g", "i", F.col("total").alias("s"))
+    own = sums.where((F.col("i") == F.col("j")) & (F.col("i") < last)).select("g", "i", F.col("total").alias("q"))
+    spread = ones.join(own, ["g", "i"]).join(rows, "g").withColumn("var", F.try_divide("q", "n") - F.pow(F.try_divide("s", "n"), F.lit(2)))
+    # What is left of a constant by rounding is no variance.
+    spread = spread.withColumn("var", F.when(F.col("var") > 1e-12 * F.col("q") / F.col("n"), F.col("var")))
+    labels = spark.createDataFrame([(k, i, named[k], c) for k, columns in members.items() for i, c in enumerate(columns)], "g int, i int, group string, feature string")
+    spread = checkpoint(spread.join(labels, ["g", "i"]))
+    pairs = sums.where(F.col("j") < last)
+    pairs = pairs.unionByName(pairs.where("i < j").select("g", F.col("j").alias("i"), F.col("i").alias("j"), "total"))
+    one = spread.select("g", "i", "group", F.col("feature").alias("feature1"), F.col("s").alias("s1"), F.col("var").alias("v1"), "n")
+    two = spread.select("g", F.col("i").alias("j"), F.col("feature").alias("feature2"), F.col("s").alias("s2"), F.col("var").alias("v2"))
+    joined = pairs.join(one, ["g", "i"]).join(two, ["g", "j"])
+    covariance = F.try_divide("total", "n") - F.try_divide("s1", "n") * F.try_divide("s2", "n")
+    r = F.try_divide(covariance, F.sqrt(F.col("v1") * F.col("v2")))
+    return joined.select("group", "feature1", "feature2", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("r"))

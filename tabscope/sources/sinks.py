@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from tabscope.functions.scalars import col
 
 
-# The lines of the text reports.
-KEPT_LINE = "%s (kept %s from same group)"
+# The lines of the text reports.
+KEPT_LINE = "%s: represented by %s"
 SUMMARY_LINES = {
-    "analyzed": "Total features analyzed: %d",
-    "strong": "Features with strong correlation (|r| > 0.3): %d",
-    "moderate": "Features with moderate correlation (0.1 < |r| <= 0.3): %d",
-    "significant": "Statistically significant features (p < 0.05): %d",
+    "analyzed": "Association with the label, features looked at: %d",
+    "strong": "|r| above 0.3: %d",
+    "moderate": "|r| above 0.1, up to 0.3: %d",
+    "significant": "p below 0.05: %d",
 }
-FEATURE_LINE = "- %s: r=%s, p=%s, Cohen's d=%s"
+FEATURE_LINE = "%s, r %s, p %s, effect size %s"
 VARIANCE_LINES = {
     "original_features": "Original features: %d",
     "reduced_features": "Reduced features: %d",

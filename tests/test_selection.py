@@ -166,3 +166,24 @@ def test_statistic_correlation_of_described_rows(spark):
     columns = [[np.mean(v), np.std(v, ddof=1)] for v in ([1, 2, 4], [10, 30, 20], [5, 5.5, 9])]
     assert found["mean", "std"] == pytest.approx(np.corrcoef(np.array(columns).T)[0, 1])
     assert len(found) == 49
+
+
+@pytest.mark.parametrize("tile", [256, 2])
+def test_group_correlation_by_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(correlate, "TILE", tile)
+    monkeypatch.setattr(correlate, "PRODUCTS_HELD", 5)
+    rng = np.random.default_rng(2)
+    x = rng.normal(1e4, 1, (80, 5))
+    x[:, 3] = 2 * x[:, 0] - 7
+    rows = [[None if (k == 4 and i % 3 == 0) else float(v) for k, v in enumerate(r)] for i, r in enumerate(x)]
+    df = spark.createDataFrame([(*r, 5.0) for r in rows], "a double, b double, `c.c` double, d double, e double, konst double")
+    asked = [("one", "a"), ("one", "b"), ("one", "d"), ("one", "konst"), ("two", "c.c"), ("two", "e"), ("two", "a"), ("none", "zz")]
+    groups = spark.createDataFrame(asked, "group string, feature string")
+    found = {(r["group"], r["feature1"], r["feature2"]): r["r"] for r in correlate.group_correlation(df, groups).collect()}
+    want = {}
+    for group, names, seen in (("one", "abd", slice(None)), ("two", "ace", np.arange(80) % 3 > 0)):
+        columns = [{"c": "c.c"}.get(n, n) for n in names]
+        r = np.corrcoef(x[seen][:, ["abcde".index(n) for n in names]].T)
+        want |= {(group, p, q): r[i, j] for i, p in enumerate(columns) for j, q in enumerate(columns)}
+    assert found.keys() == want.keys()
+    assert all(found[k] == pytest.approx(want[k], abs=1e-9) for k in want)
