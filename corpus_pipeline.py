@@ -48,18 +48,27 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that tokens meet the target shares of source, language and topic; same columns."""
+    """Documents drawn so that tokens meet the target shares of source, language and topic; same columns.
+
+    A document of a cell with too little weight is repeated, as rows with its id; one of a cell with too much may go.
+    """
     rows = _numbered(docs)
     margins = (_at(docs, "source"), _at(docs, "lang"), "topic")
     mixed = mixing.mix_documents(rows, margins=margins, id_col=_at(docs, "doc_id"), text_col=_at(docs, "text"))
-    return mixed.where("sampled").select(*rows.columns).toDF(*docs.columns)
+    repeated = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select(*rows.columns).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``source``, ``lang``, ``n_chars``, the number of tokens and their ids for every document."""
+    """``doc_id``, ``source``, ``lang``, ``n_chars``, the number of tokens, their ids and the offsets of their ends in the
+    text's bytes, and ``decoded_sha256``, the digest of the bytes that the ids decode to (null text: empty)."""
     rows = docs.select("doc_id", "source", "lang", "n_chars", "text")
     tokens = bpe.encode(rows, vocabulary(), keep_text=False)
-    return tokens.select("doc_id", "source", "lang", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    decoded = bpe.decode(tokens, vocabulary())
+    return decoded.select(
+        "doc_id", "source", "lang", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "ends",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [
