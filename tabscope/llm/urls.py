@@ -126,6 +126,8 @@ def judge_urls(
     Repeated rows and ids are judged row by row; further columns are ignored; empty tables give no rows. A url of
     very many rows is met by one row of the blocked forms, which Spark splits when the join is skewed.
     """
+    # Read three times below, so pages are searched for links once.
+    links = stored(links.select("from_url", "to_url"), "links")
     ends = links.select(F.explode(F.array("from_url", "to_url")).alias("url")).where("url IS NOT NULL").distinct()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     rows = _with_rules(rows, rules).withColumn("form", canonical_form(F.col("url")))
