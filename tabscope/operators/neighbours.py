@@ -13,12 +13,12 @@ from tabscope.session import checkpoint, ship
 
 # At most so many pivots, picked by hash; they decide how much is pruned and nothing else.
 PIVOTS = 1024
-# Points of a ball that one task holds at once; larger balls are dealt to several.
+# Points that one task holds at once: those of a group of balls; larger balls are dealt to several.
 BALL_ROWS = 20_000
 # Distances computed at a time, and the part of a distance that rounding may be off.
 BLOCK, SLACK = 1 << 20, 1e-9
 
-_POINT = "part string, ball int, block int, role int, key string, vector array<double>, reach double"
+_POINT = "part string, group int, block int, role int, ball int, key string, vector array<double>, reach double, near double"
 
 
 def distances(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
@@ -33,6 +33,50 @@ def distances(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(out) if metric == "euclidean" else out
 
 
+def close_pairs(x: np.ndarray, y: np.ndarray, metric: str, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of all pairs within ``reach`` (one for each row of x); without it a choice of pairs that
+    holds, for each row of x, the nearest row of y at a positive distance.
+
+    Euclidean pairs are chosen by one matrix product, with room for its rounding; the distances are those of ``distances``.
+    """
+    long, wide = (x * x).sum(1), (y * y).sum(1)
+    if metric == "euclidean" and len(y) and np.append(long, wide).max() < 1e300:
+        off = (8 + x.shape[1]) * 4 * np.finfo(float).eps * (long + wide.max()) + 1e-290
+        # Squared distances as one product: long - 2 x y + wide.
+        square = np.column_stack([x, long, np.ones(len(x))]) @ np.column_stack([-2 * y, np.ones(len(y)), wide]).T
+        if reach is None:
+            limit = square.min(1)
+            same = np.flatnonzero(limit <= off)
+            limit[same] = np.where(square[same] > off[same, None], square[same], np.inf).min(1)
+            limit += 2 * off
+        else:
+            limit = np.where(reach >= 0, reach * reach * (1 + 1e-9) + off, -np.inf)
+        q, p = np.nonzero(square <= limit[:, None])
+        total = np.zeros(len(q))
+        for i in range(x.shape[1]):
+            step = np.abs(x[q, i] - y[p, i])
+            total += step * step
+        d = np.sqrt(total)
+        inside = slice(None) if reach is None else d <= reach[q]
+        return q[inside], p[inside], d[inside]
+    d = distances(x, y, metric)
+    if reach is not None:
+        q, p = np.nonzero(d <= reach[:, None])
+    else:
+        q = np.arange(len(x) if len(y) else 0)
+        p = np.where(d > 0, d, np.inf).argmin(1) if len(y) else q
+    return q, p, d[q, p]
+
+
+def _met_balls(to: np.ndarray, radius: np.ndarray, reach: np.ndarray, near: np.ndarray, home: np.ndarray, own: str) -> np.ndarray:
+    """Which balls each query has to meet, by its distances to their pivots, its reach and its distance to the nearest pivot."""
+    if own == "only":
+        return home
+    slack = SLACK * (1 + to)
+    go = (to - radius <= reach[:, None] + slack) & (to - near[:, None] <= 2 * reach[:, None] + slack)
+    return go & ~home if own == "not" else go | home
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Arrays of one length as the rows of a matrix."""
     if not len(column):
@@ -51,7 +95,8 @@ class BallIndex:
     Vectors have one length; equal vectors should be one point, keys are unique. Points of different parts are never
     neighbours. Pivots are points. A query at distance d from a ball's pivot, e from that of its own ball, has its
     neighbours within r only in balls with d - radius <= r and d - e <= 2 r; others are not visited. What is sent to
-    the tasks are the pivots and two numbers for each, at most ``PIVOTS`` rows.
+    the tasks are the pivots and two numbers for each, at most ``PIVOTS`` rows. A query travels once for each group of balls:
+    where vectors are long and balls do not tell them apart, that is once for ``BALL_ROWS`` points and not once for a ball.
     """
 
     def __init__(self, points: DataFrame, metric: str = "euclidean") -> None:
@@ -64,9 +109,27 @@ class BallIndex:
         self.pivots = np.unique(np.array([r[0] for r in chosen], float).reshape(len(chosen), -1), axis=0)
         self.points = checkpoint(self._located(points))
         balls = self.points.groupBy("ball").agg(F.max("reach"), F.count(F.lit(1))).collect()
-        self.radius, self.blocks = np.full(len(self.pivots), -np.inf), np.zeros(len(self.pivots), np.int64)
+        self.radius, sizes = np.full(len(self.pivots), -np.inf), np.zeros(len(self.pivots), np.int64)
         for ball, radius, rows in balls:
-            self.radius[ball], self.blocks[ball] = radius, -(-rows // BALL_ROWS)
+            self.radius[ball], sizes[ball] = radius, rows
+        self._group(sizes)
+
+    def _group(self, sizes: np.ndarray) -> None:
+        """The group of each ball, neighbours in the widest direction of the pivots, and how many blocks each group has: one,
+        or for a single ball above ``BALL_ROWS`` several."""
+        self.groups, blocks, filled = np.zeros(len(sizes), np.int32), [0], 0
+        for ball in self._order():
+            if filled and filled + sizes[ball] > BALL_ROWS:
+                blocks, filled = [*blocks, 0], 0
+            filled += int(sizes[ball])
+            self.groups[ball], blocks[-1] = len(blocks) - 1, max(1, -(-filled // BALL_ROWS))
+        self.blocks = np.array(blocks, np.int64)
+
+    def _order(self) -> np.ndarray:
+        centred = self.pivots - self.pivots.mean(0)
+        if not centred.size or not np.isfinite(centred @ centred.T).all():
+            return np.arange(len(self.pivots))
+        return np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable")
 
     def _each(self, df: DataFrame, work: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
         """``work`` on batches with the matrix of their vectors and its distances to the pivots."""
@@ -94,40 +157,42 @@ class BallIndex:
         return self._each(points, work, "part string, ball int, key string, vector array<double>, reach double")
 
     def _met(self, queries: DataFrame, own: str, found: Callable, schema: str) -> DataFrame:
-        """``found(points, their keys, queries, their keys, reaches)`` for every block of points and the queries sent to it.
+        """``found(pairs, keys of the points, keys of the queries)`` for every block of points and the queries sent to it;
+        ``pairs(nearest)`` gives (query, point, distance), see ``close_pairs``.
 
-        ``queries``: part, key, vector, reach. With ``own`` = "only" they go to their own ball, with "not" to all others
-        within reach, with "also" to all within reach.
+        ``queries``: part, key, vector, reach. With ``own`` = "only" they meet their own ball, with "not" all others
+        within reach, with "also" all within reach. Neighbouring balls form groups of about ``BALL_ROWS`` points; a query is
+        sent once to a group, however many of its balls are within reach, and meets only those.
         """
-        metric = self.metric
-        radius, blocks = self.spark.sparkContext.broadcast(self.radius), self.spark.sparkContext.broadcast(self.blocks)
+        metric, context = self.metric, self.spark.sparkContext
+        shared = context.broadcast((self.pivots, self.radius, self.groups, self.blocks))
 
         def route(part: pa.RecordBatch, rows: np.ndarray, to: np.ndarray) -> pa.RecordBatch:
+            _, radius, groups, blocks = shared.value
             reach = part.column("reach").to_numpy(zero_copy_only=False)
             home, near = to.argmin(1), to.min(1)
-            slack = SLACK * (1 + to)
-            go = (to - radius.value[None] <= reach[:, None] + slack) & (to - near[:, None] <= 2 * reach[:, None] + slack)
-            go[np.arange(len(to)), home] = own != "not"
-            if own == "only":
-                go[:] = False
-                go[np.arange(len(to)), home] = True
-            row, ball = np.nonzero(go & (blocks.value > 0)[None])
-            times = blocks.value[ball]
+            go = _met_balls(to, radius, reach, near, home[:, None] == np.arange(len(radius)), own) & np.isfinite(radius)
+            wanted = np.zeros((len(to), len(blocks)), bool)
+            for ball in range(len(radius)):
+                wanted[:, groups[ball]] |= go[:, ball]
+            row, group = np.nonzero(wanted)
+            times = blocks[group]
             block = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            row, ball = np.repeat(row, times), np.repeat(ball, times)
+            row, group = np.repeat(row, times), np.repeat(group, times)
             take = pa.array(row)
             return pa.RecordBatch.from_arrays(
-                [part.column("part").take(take), pa.array(ball.astype(np.int32)), pa.array(block.astype(np.int32)),
-                 pa.array(np.ones(len(row), np.int32)), part.column("key").take(take), part.column("vector").take(take), pa.array(reach[row])],
-                ["part", "ball", "block", "role", "key", "vector", "reach"],
+                [part.column("part").take(take), pa.array(group.astype(np.int32)), pa.array(block.astype(np.int32)), pa.array(np.ones(len(row), np.int32)),
+                 pa.array(home[row].astype(np.int32)), part.column("key").take(take), part.column("vector").take(take), pa.array(reach[row]), pa.array(near[row])],
+                ["part", "group", "block", "role", "ball", "key", "vector", "reach", "near"],
             )
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            place, held, keys = None, [], []
+            pivots, radius, _, _ = shared.value
+            place, held = None, []
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                columns = [batch.column(c) for c in ("part", "ball", "block", "role")]
+                columns = [batch.column(c) for c in ("part", "group", "block", "role")]
                 codes = [c.dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in columns]
                 change = np.zeros(batch.num_rows, bool)
                 for code in codes:
@@ -136,23 +201,38 @@ class BallIndex:
                 for at, to in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                     here = tuple(c[at].as_py() for c in columns)
                     if place != here[:3]:
-                        place, held, keys = here[:3], [], []
-                    rows, names = matrix(batch.column("vector").slice(at, to - at)), batch.column("key").slice(at, to - at)
+                        place, held = here[:3], []
+                    some = batch.slice(at, to - at)
+                    rows, names = matrix(some.column("vector")), some.column("key")
+                    balls, reach, near = (some.column(c).to_numpy(zero_copy_only=False) for c in ("ball", "reach", "near"))
                     if here[3] == 0:
-                        held.append(rows)
-                        keys.append(names)
+                        held.append((rows, names, balls))
                     elif held:
-                        held, keys = [np.concatenate(held)], [pa.concat_arrays(keys)]
-                        reach = batch.column("reach").slice(at, to - at).to_numpy(zero_copy_only=False)
-                        step = max(1, BLOCK // len(held[0]))
+                        if len(held) > 1:
+                            held = [(np.concatenate([h[0] for h in held]), pa.concat_arrays([h[1] for h in held]), np.concatenate([h[2] for h in held]))]
+                        points, keys, ball_of = held[0]
+                        present, first = np.unique(ball_of, return_index=True)  # points come in the order of their balls
+                        ends = np.append(first[1:], len(ball_of))
+                        step = max(1, BLOCK // max(len(present), int((ends - first).max())))
                         for low in range(0, len(rows), step):
                             part = slice(low, low + step)
-                            yield found(distances(rows[part], held[0], metric), keys[0], names.slice(low, step), reach[part])
+                            x, far = rows[part], reach[part]
+                            go = _met_balls(distances(x, pivots[present], metric), radius[present], far, near[part], balls[part, None] == present, own)
+
+                            def pairs(nearest: bool, x=x, far=far, go=go, points=points, first=first, ends=ends) -> Iterator[tuple]:
+                                for k in np.flatnonzero(go.any(0)):
+                                    one = np.flatnonzero(go[:, k])
+                                    q, p, d = close_pairs(x[one], points[first[k] : ends[k]], metric, None if nearest else far[one])
+                                    yield one[q], p + first[k], d
+
+                            yield from found(pairs, keys, names.slice(low, step))
 
-        block = F.pmod(F.xxhash64("key"), F.greatest(F.lit(1), F.element_at(F.lit(self.blocks.tolist()), F.col("ball") + 1))).cast("int")
-        points = self.points.select("part", "ball", block.alias("block"), F.lit(0).alias("role"), "key", "vector", "reach")
+        at = lambda values, index: F.element_at(F.lit(values.tolist()), index + 1)
+        points = self.points.withColumn("group", at(self.groups, F.col("ball")))
+        block = F.pmod(F.xxhash64("key"), at(self.blocks, F.col("group"))).cast("int")
+        points = points.select("part", "group", block.alias("block"), F.lit(0).alias("role"), "ball", "key", "vector", "reach", F.lit(0.0).alias("near"))
         sent = self._each(queries.select("part", "key", "vector", "reach"), route, _POINT)
-        both = points.unionByName(sent).repartition("part", "ball", "block").sortWithinPartitions("part", "ball", "block", "role")
+        both = points.unionByName(sent).repartition("part", "group", "block").sortWithinPartitions("part", "group", "block", "role", "ball")
         return both.mapInArrow(meet, schema)
 
     def nearest(self, queries: DataFrame) -> DataFrame:
@@ -163,9 +243,11 @@ class BallIndex:
         """
         queries = queries.select("part", "key", F.col("vector").cast("array<double>").alias("vector"))
 
-        def found(d: np.ndarray, keys: pa.Array, names: pa.Array, reach: np.ndarray) -> pa.RecordBatch:
-            d = np.where(d > 0, d, np.inf).min(1)
-            return pa.RecordBatch.from_arrays([names, pa.array(d)], ["key", "nearest"])
+        def found(pairs: Callable, keys: pa.Array, names: pa.Array) -> Iterator[pa.RecordBatch]:
+            best = np.full(len(names), np.inf)
+            for q, _, d in pairs(True):
+                np.minimum.at(best, q, np.where(d > 0, d, np.inf))
+            yield pa.RecordBatch.from_arrays([names, pa.array(best)], ["key", "nearest"])
 
         schema = "key string, nearest double"
         best = lambda df: df.groupBy("key").agg(F.min("nearest").alias("nearest"))
@@ -185,11 +267,11 @@ class BallIndex:
         Each task thins its pairs to a forest, so their number stays near that of the points.
         """
 
-        def found(d: np.ndarray, keys: pa.Array, names: pa.Array, reach: np.ndarray) -> pa.RecordBatch:
-            q, p = np.nonzero(d <= reach[:, None])
+        def found(pairs: Callable, keys: pa.Array, names: pa.Array) -> Iterator[pa.RecordBatch]:
             names_of = pa.concat_arrays([names, keys])
-            low, high = _forest(q, p + len(names), len(names_of))
-            return pa.RecordBatch.from_arrays([names_of.take(pa.array(low)), names_of.take(pa.array(high))], ["a", "b"])
+            for q, p, _ in pairs(False):
+                low, high = _forest(q, p + len(names), len(names_of))
+                yield pa.RecordBatch.from_arrays([names_of.take(pa.array(low)), names_of.take(pa.array(high))], ["a", "b"])
 
         queries = self.points.select("part", "key", "vector", F.lit(float(radius)).alias("reach"))
         return self._met(queries, "also", found, "a string, b string").where("a <> b").distinct()

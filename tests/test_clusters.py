@@ -144,3 +144,32 @@ def test_points_without_neighbours(spark):
     index = neighbours.BallIndex(one)
     assert {(r["key"], r["nearest"]) for r in index.nearest(one).collect()} == {("a", None), ("b", None)}
     assert index.touching(5.0).count() == 0
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "chebyshev"])
+def test_close_pairs_are_those_of_all_distances(metric):
+    rng = np.random.default_rng(3)
+    for size, scale, shift in ((40, 1.0, 0.0), (2, 1e-3, 1e3), (3, 1e180, 0.0)):
+        x = rng.normal(size=(90, size)) * scale + shift
+        y = np.concatenate([x[:30], rng.normal(size=(60, size)) * scale + shift, x[:20] * (1 + 1e-15)])
+        y[-1, 0] = np.nan
+        d = neighbours.distances(x, y, metric)
+        best = np.full(len(x), np.inf)
+        q, _, found = neighbours.close_pairs(x, y, metric)
+        np.minimum.at(best, q, np.where(found > 0, found, np.inf))
+        assert (best == np.where(d > 0, d, np.inf).min(1)).all()
+        for cut in (0.0, np.median(d[:, :-1])):
+            q, p, _ = neighbours.close_pairs(x, y[:-1], metric, np.full(len(x), cut))
+            assert (np.argwhere(d[:, :-1] <= cut) == np.stack([q, p], 1)).all()
+
+
+def test_a_query_travels_once_for_a_group_of_balls(monkeypatch, spark):
+    x = np.random.default_rng(8).normal(size=(400, 40))
+    df = spark.createDataFrame([("", str(i), [float(v) for v in r]) for i, r in enumerate(x)], "part string, key string, vector array<double>")
+    index, sent, union = neighbours.BallIndex(df), [], type(df).unionByName
+    monkeypatch.setattr(type(df), "unionByName", lambda self, other, *a: sent.append(other.count()) or union(self, other, *a))
+    got = {int(r["key"]): r["nearest"] for r in index.nearest(df).collect()}
+    assert len(index.pivots) > 10 and len(sent) == 2 and max(sent) <= 400
+    d = neighbours.distances(x, x, "euclidean")
+    np.fill_diagonal(d, np.inf)
+    assert [got[i] for i in range(400)] == d.min(1).tolist()
