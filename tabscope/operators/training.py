@@ -124,8 +124,9 @@ def gradient_sums(
     """Weighted mean loss and its gradient for each row of ``parameters``, in one pass.
 
     ``rows``: x array, y long, w double, fold int. Model k does not see the rows whose fold is ``held_out[k]``. What a task returns
-    is the size of the parameters, whatever its rows. Those sums are combined to at most ``FAN`` by tasks before they are
-    collected; with ``few`` the caller knows that there are no more (``few_tasks``).
+    is the size of the parameters, whatever its rows. Tasks combine those sums to one of each chunk before they are collected,
+    so the driver gets the size of the parameters, whatever the number of tasks; with ``few`` the caller knows that one step
+    is enough (``few_tasks``), else they are first combined to ``FAN``.
     """
     spark = rows.sparkSession
     ship(spark)
@@ -154,16 +155,16 @@ def gradient_sums(
                 )
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("task")  # one order of the terms, however they arrive
         first = frame.iloc[0]
         return pd.DataFrame({"model": [first["model"]], "chunk": [first["chunk"]], "task": [first["task"] % FAN], "part": [np.sum(np.stack(frame["part"]), 0)]})
 
     schema = "model int, chunk int, task int, part array<double>"
-    sums = rows.select("x", "y", "w", "fold").mapInArrow(run, schema)
-    found = sums if few else sums.groupBy("model", "chunk", F.pmod("task", F.lit(FAN))).applyInPandas(lambda f: added(f), schema)
-    out: dict[tuple[int, int], np.ndarray] = {}
-    for r in found.collect():  # at most FAN rows for each chunk
-        key = r["model"], r["chunk"]
-        out[key] = out.get(key, 0.0) + np.array(r["part"])
+    found = rows.select("x", "y", "w", "fold").mapInArrow(run, schema)
+    if not few:
+        found = found.groupBy("model", "chunk", F.pmod("task", F.lit(FAN))).applyInPandas(lambda f: added(f), schema)
+    found = found.groupBy("model", "chunk").applyInPandas(lambda f: added(f), schema)
+    out = {(r["model"], r["chunk"]): np.array(r["part"]) for r in found.collect()}
     shared.destroy()
     chunks = 1 + max(c for _, c in out)
     total = np.stack([np.concatenate([out[k, c] for c in range(chunks)]) for k in range(len(parameters))])

@@ -50,6 +50,16 @@ def test_sums_over_tasks_and_folds(spark, rings):
             assert loss[k] == pytest.approx(want[0] / total) and gradient[k] == pytest.approx(want[1] / total)
 
 
+def test_the_driver_gets_one_gradient_whatever_the_tasks(monkeypatch, spark, rings):
+    rows = rings.select(vector_to_array("v").alias("x"), F.col("y").cast("long").alias("y"), F.lit(1.0).alias("w"), F.lit(0).alias("fold"))
+    model = training.Perceptron([2, 5, 3])
+    sent, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    for tasks, few in ((1, True), (30, True), (130, False)):
+        training.gradient_sums(rows.repartition(tasks), model, np.stack([model.start(1), model.start(2)]), [-1, 1], few)
+    assert [len(found) for found in sent] == [2, 2, 2]
+
+
 def test_weights_equal_copies(spark, rings):
     weighted = rings.withColumn("w", F.when(F.col("y") == 0, 14.0).otherwise(1.0))
     copied = weighted.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("w").cast("int")))).withColumn("w", F.lit(1.0))
