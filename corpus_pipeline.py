@@ -27,7 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     rows, text, lang = _numbered(docs), _at(docs, "text"), _at(docs, "lang")
     narrow = stored(perplexity.measure_words(rows.select(text, lang), text), "measured")
-    judged = perplexity.judge(narrow, perplexity.upper_bands(narrow, lang), lang)
+    limits = perplexity.bands(narrow, lang, lower="log_characters")
+    judged = perplexity.judge(narrow, limits, lang, lower="log_characters")
     rejected = judged.where("NOT base_failed AND NOT kept").select(F.col("text_key").alias("key"), F.col(lang).alias("key_lang"))
     rejected = small(stored(rejected.distinct(), "rejected"))
     passed = perplexity.counted(rows, text).where(~perplexity.base_failed())

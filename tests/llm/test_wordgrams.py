@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tabscope.llm import queries, wordgrams
+import corpus_pipeline
+from tabscope.llm import perplexity, queries, wordgrams
 from tabscope.llm.arrays import utf8
 from tests.llm import cases
 
@@ -63,6 +64,35 @@ def test_each_text_is_judged_by_the_other_fold(spark):
     assert wordgrams.log_perplexities(docs.limit(0)).count() == 0
 
 
+def test_monotonous_text_is_rejected_and_near_copies_stay(spark, tmp_path):
+    random = np.random.default_rng(5)
+    words = ["".join(random.choice(list("etaoinshrdlu"), random.integers(3, 9))) for _ in range(400)]
+    rows = [(k, " ".join(random.choice(words, 90)), "en", "a", 0) for k in range(160)]
+    rows += [(500 + k, rows[0][1].replace(" ", f" {words[k]} ", 1), "en", "a", 0) for k in range(6)]
+    rows += [(1000 + k, " ".join("a" * n for n in random.integers(1, 6, 90)), "en", "a", 0) for k in range(8)]
+    docs = cases.documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    judged = {r.doc_id: r for r in queries.op4_perplexity_quality_rules(spark, str(tmp_path)).collect()}
+    assert not any(r.base_failed for r in judged.values())
+    assert sum(judged[k].kept for k in range(160)) >= 159 and all(judged[k].kept for k in range(500, 506))
+    assert not any(judged[k].kept for k in range(1000, 1008))
+    left = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert left == {k for k, r in judged.items() if r.kept}
+
+
+def test_near_copies_share_a_fold(spark):
+    random = np.random.default_rng(2)
+    words = ["".join(random.choice(list("etaoinshrdlu"), 6)) for _ in range(300)]
+    texts = [" ".join(random.choice(words, 300)) for _ in range(200)]
+    near = [t.replace(" ", " another ", 1) for t in texts]
+    found = perplexity.folds(*utf8(pa.array([*texts, *near, "", None, "short", "short", "é" * 16])))
+    assert (found[:200] == found[200:400]).sum() >= 190 and 60 < found[:200].sum() < 140
+    assert found[400] == found[401] and found[402] == found[403]
+    alone = [int(perplexity.folds(*utf8(pa.array([t])))[0]) for t in [*texts[:5], "short", "é" * 16]]
+    assert alone == [*found[:5], found[402], found[404]]
+    assert len(perplexity.folds(*utf8(pa.array([], pa.string())))) == 0
+
+
 def test_word_salad_and_exchanged_letters_are_rejected(spark, tmp_path):
     random = np.random.default_rng(4)
     words = ["".join(chr(0x430 + k) for k in random.integers(0, 12, 6)) for _ in range(480)]
