@@ -107,3 +107,26 @@ def test_word_salad_and_exchanged_letters_are_rejected(spark, tmp_path):
     assert sum(kept[k] for k in range(200)) >= 198
     assert all(kept[k] for k in range(500, 506))
     assert not any(kept[k] for k in kept if k >= 1000)
+
+
+def test_blocks_parts_and_unranked_words_change_no_value(spark, monkeypatch):
+    random = np.random.default_rng(7)
+    names = ["".join(random.choice(list("etaoin"), 4)) for _ in range(40)]
+    texts = [" ".join(random.choice(names, random.integers(1, 40))) for _ in range(60)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, *texts[:5], None, ""]], "text string")
+    whole = {r.text_key: r.log_perplexity for r in wordgrams.log_perplexities(docs).collect()}
+    for name, value in (("BLOCK_TOKENS", 50), ("PART_BYTES", 100), ("RANKED", 3), ("BUCKET_BYTES", 500)):
+        monkeypatch.setattr(wordgrams, name, value)
+    cut = {r.text_key: r.log_perplexity for r in wordgrams.log_perplexities(docs).collect()}
+    assert cut == pytest.approx(whole, abs=1e-6) and len(cut) == len(set(texts))
+
+
+def test_a_trigram_travels_in_few_bytes():
+    random = np.random.default_rng(1)
+    texts = [" ".join(f"w{k}" for k in random.zipf(1.3, 500) % 5000) for _ in range(400)]
+    part = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    held = [wordgrams._word_hashes(part, "text")]
+    ranks = wordgrams._Words(np.unique(held[0][2])[::2].tolist())
+    rows = [r for b in wordgrams._block(held, 0, ranks, list(range(12)), 1) for r in b.to_pylist()]
+    assert len(rows) == 12 and sum(r["texts"] is not None for r in rows) == 1
+    assert sum(len(r[k]) for r in rows for k in ("rare", "body")) < 6 * len(held[0][2])
