@@ -1,12 +1,16 @@
 """The model of word n-grams behind the perplexity rule."""
 
+import gc
+import os
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tabscope.llm import perplexity, queries, wordgrams
-from tabscope.llm.arrays import utf8
+from tabscope.llm.arrays import slices, utf8
 from tests.llm import cases
 
 
@@ -130,3 +134,64 @@ def test_a_trigram_travels_in_few_bytes():
     rows = [r for b in wordgrams._block(held, 0, ranks, list(range(12)), 1) for r in b.to_pylist()]
     assert len(rows) == 12 and sum(r["texts"] is not None for r in rows) == 1
     assert sum(len(r[k]) for r in rows for k in ("rare", "body")) < 6 * len(held[0][2])
+
+
+def packed(text_count, words_each, frequent=0.0):
+    """Blocks of a text column whose words are drawn from 3000, one of them with the given share, packed for one bucket."""
+    random = np.random.default_rng(11)
+    names = np.array([f"w{k}" for k in range(3000)])
+    texts = [" ".join(np.where(random.random(words_each) < frequent, "the", names[random.integers(0, 3000, words_each)])) for _ in range(text_count)]
+    return texts, [wordgrams._word_hashes(pa.RecordBatch.from_pydict({"text": pa.array(texts)}), "text")]
+
+
+def peak(of):
+    gc.collect()
+    tracemalloc.start()
+    try:
+        out = of()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_packing_a_block_takes_little_memory():
+    _, held = packed(400, 500)
+    words = wordgrams._Words(np.unique(held[0][2]).tolist())
+    rows, most = peak(lambda: [r for b in wordgrams._block(held, 0, words, list(range(12)), 1) for r in b.to_pylist()])
+    assert len(rows) == 12 and most < 105 * len(held[0][2])
+
+
+def test_a_bucket_with_a_frequent_word_is_cut_into_more_parts(spark, monkeypatch):
+    texts, _ = packed(60, 400, 0.3)
+    total = sum(map(len, texts))
+    monkeypatch.setattr(wordgrams, "PART_BYTES", total // 24)
+    words, shares = wordgrams._ranked(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    parts = wordgrams._parts(words, shares, 12, total)
+    word = wordgrams.text_keys(*utf8(pa.array(["the"]))).view(np.uint64)
+    assert words.by_rank[1] == word[0] and shares[1] == pytest.approx(0.3, abs=0.02)
+    assert parts[wordgrams._bucket_of(word, 12)[0]] >= 8 and np.median(parts) <= 2 and (parts >= 1).all()
+    assert (wordgrams._parts(wordgrams._Words([]), np.zeros(1), 12, 0) == 1).all()
+
+
+def test_turns_change_no_value_and_leave_no_trigrams(spark, monkeypatch):
+    texts, _ = packed(30, 60, 0.2)
+    docs = spark.createDataFrame([(t,) for t in [*texts, *texts[:3], "one", None, ""]], "text string")
+    removed, folder = [], wordgrams.remove
+    monkeypatch.setattr(wordgrams, "remove", lambda session, path: (removed.append(path), folder(session, path)))
+    found = []
+    for rounds in (1, 2, 3):
+        monkeypatch.setattr(wordgrams, "ROUNDS", rounds)
+        found.append({r.text_key: r.log_perplexity for r in wordgrams.log_perplexities(docs).collect()})
+    assert len(found[0]) == 31 and found[1] == pytest.approx(found[0], abs=1e-6) and found[2] == pytest.approx(found[0], abs=1e-6)
+    assert len(removed) == 1 + 3 + 5 and not any(os.path.exists(p.removeprefix("file:")) for p in removed)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("trigrams_") and t.name in {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in removed}]
+
+
+def test_slices_change_no_count():
+    texts = [*[t for _, t, *_ in cases.ROWS], *packed(20, 200, 0.3)[0], "a b\na b\n\na b"]
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    whole = perplexity.base_counts(data, offsets)
+    cut = [perplexity.base_counts(d, o) for d, o in slices(data, offsets, 300)]
+    assert len(cut) > 10 and all((np.concatenate([c[k] for c in cut]) == v).all() for k, v in whole.items())
+    assert (np.concatenate([perplexity.folds(d, o) for d, o in slices(data, offsets, 300)]) == perplexity.folds(data, offsets)).all()
+    assert whole["n_dup_lines"][-1] == 2 and list(slices(data[:0], offsets[:1])) == []
