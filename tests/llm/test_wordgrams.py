@@ -9,8 +9,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tabscope.llm import perplexity, queries, wordgrams
-from tabscope.llm.arrays import slices, utf8
+from tabscope.llm import arrays, perplexity, queries, wordgrams
+from tabscope.llm.arrays import Rolling, slices, utf8
 from tests.llm import cases
 
 
@@ -195,3 +195,12 @@ def test_slices_change_no_count():
     assert len(cut) > 10 and all((np.concatenate([c[k] for c in cut]) == v).all() for k, v in whole.items())
     assert (np.concatenate([perplexity.folds(d, o) for d, o in slices(data, offsets, 300)]) == perplexity.folds(data, offsets)).all()
     assert whole["n_dup_lines"][-1] == 2 and list(slices(data[:0], offsets[:1])) == []
+
+
+def test_a_worker_gives_large_tables_back():
+    long = np.full(1 << 20, 97, np.uint8)
+    before = Rolling(long).of(np.array([5]), np.array([1 << 19]))
+    assert len(arrays._POWERS[0]) > 1 << 20
+    arrays.give_back()
+    assert len(arrays._POWERS[0]) == len(arrays._POWERS[1]) == 1
+    assert (Rolling(long).of(np.array([5]), np.array([1 << 19])) == before).all()
