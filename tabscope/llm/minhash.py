@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.aggregates import small
-from tabscope.llm.arrays import LOWER, U64, Rolling, joined, mix, odd_weights, per_text, pieces, utf8, with_columns, words
+from tabscope.llm.arrays import LOWER, U64, Rolling, joined, mix, odd_weights, per_text, pieces, tidy, utf8, with_columns, words
 from tabscope.llm.frames import batched, stored, with_names
 from tabscope.llm.graph import components
 
@@ -129,7 +129,7 @@ def _described(text_col: str, shape: Shape, give: str, keep_text: bool = False):
                 extra["__bands"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))
             yield with_columns(part, extra, () if keep_text else (text_col,))
 
-    return run
+    return tidy(run)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

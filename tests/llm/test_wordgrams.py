@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tabscope.llm import arrays, perplexity, queries, wordgrams
+from tabscope.llm import arrays, minhash, perplexity, queries, wordgrams
 from tabscope.llm.arrays import Rolling, slices, utf8
 from tests.llm import cases
 
@@ -204,3 +204,11 @@ def test_a_worker_gives_large_tables_back():
     arrays.give_back()
     assert len(arrays._POWERS[0]) == len(arrays._POWERS[1]) == 1
     assert (Rolling(long).of(np.array([5]), np.array([1 << 19])) == before).all()
+
+
+def test_passes_over_texts_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(arrays, "give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["one two three four five six", None])})
+    out = list(minhash._described("text", minhash.Shape(shingle=4), "digest")(iter([batch, batch])))
+    assert sum(b.num_rows for b in out) == 4 and len(given) == 1
