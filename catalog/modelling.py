@@ -327,20 +327,18 @@ def mean_diff_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(found, 4, "benign_mean", "malicious_mean"), 9, "difference")
 
 
-# The benign side is half the classes; the malicious side a sample of the same size from the rest.
+# The benign side is half the classes, the malicious side the rest; all rows of both count.
 @query("""
 WITH points AS (SELECT vec_id, embedding::DOUBLE[] AS v, (label >= 5)::INTEGER AS y FROM embeddings),
 benign AS (SELECT * FROM points WHERE y = 0),
-drawn AS (SELECT * FROM points WHERE y = 1 ORDER BY md5(concat_ws('_', '42', vec_id)), vec_id LIMIT (SELECT count(*) FROM benign)),
+malicious AS (SELECT * FROM points WHERE y = 1),
 inside AS (SELECT a.vec_id, min(list_distance(a.v, b.v)) AS d FROM benign a JOIN benign b ON a.vec_id <> b.vec_id GROUP BY 1),
-other AS (SELECT a.vec_id, min(list_distance(a.v, b.v)) AS d FROM drawn a JOIN drawn b ON a.vec_id <> b.vec_id GROUP BY 1),
-across AS (SELECT list_distance(a.v, b.v) AS d FROM benign a, drawn b),
-few_benign AS (SELECT * FROM benign ORDER BY md5(concat_ws('_', '42', vec_id)), vec_id LIMIT 2000),
-few_drawn AS (SELECT * FROM drawn ORDER BY md5(concat_ws('_', '42', vec_id)), vec_id LIMIT 2000),
+other AS (SELECT a.vec_id, min(list_distance(a.v, b.v)) AS d FROM malicious a JOIN malicious b ON a.vec_id <> b.vec_id GROUP BY 1),
+across AS (SELECT list_distance(a.v, b.v) AS d FROM benign a, malicious b),
 metrics AS (
   SELECT 'benign_nearest_min' AS metric, min(d) AS value FROM inside UNION ALL SELECT 'benign_nearest_max', max(d) FROM inside
   UNION ALL SELECT 'benign_nearest_mean', avg(d) FROM inside UNION ALL SELECT 'malicious_nearest_mean', avg(d) FROM other
-  UNION ALL SELECT 'cross_min', min(d) FROM across UNION ALL SELECT 'cross_mean', avg(list_distance(a.v, b.v)) FROM few_benign a, few_drawn b)
+  UNION ALL SELECT 'cross_min', min(d) FROM across UNION ALL SELECT 'cross_mean', avg(d) FROM across)
 SELECT metric, round(value, 6) + 0.0 AS value FROM metrics""")
 def nn_distance_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "embeddings").withColumn("y", (F.col("label") >= 5).cast("int"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,52 +14,109 @@ from tabscope.operators.neighbours import BallIndex, distances, matrix
 from tabscope.operators.ranking import pick_rows
 from tabscope.session import checkpoint, ship
 
-BLOCK_ROWS = 256
-# Rows of each side of which the mean of all distances is taken.
-MEAN_ROWS = 2000
+# Rows of a block. Every block of one side meets every block of the other, so larger ones are sent fewer times.
+BLOCK_ROWS = 4096
+# At most so many parts of blocks on each side, until one holds ``PART_BLOCKS``; a task takes two parts.
+PARTS, PART_BLOCKS = 64, 32
+# Distances computed at a time; squares below this share of the two lengths are computed again from the differences.
+CHUNK, CLOSE = 1 << 19, 1e-3
 
 
 def feature_array(features: Sequence[str]) -> Column:
     return F.array(*[fill_zero(col(c)) for c in features])
 
 
-def _blocks(points: DataFrame, rows: int, name: str) -> DataFrame:
-    """Rows (id, vector) gathered into blocks of about ``BLOCK_ROWS``."""
-    count = max(1, -(-rows // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("id"), F.lit(count)).alias(f"{name}_block")
-    gathered = F.collect_list(F.struct("id", "vector")).alias(name)
-    return points.groupBy(block).agg(gathered)
+def _blocks(points: DataFrame, name: str) -> DataFrame:
+    """Rows (id, vector) gathered into blocks of at most ``BLOCK_ROWS``: their ids, and their vectors as the bytes of a matrix."""
+    most = BLOCK_ROWS
+    count = max(1, -(-points.count() // (most - most // 8)))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                held.append(batch.slice(at, most - n))
+                n, at = n + held[-1].num_rows, at + held[-1].num_rows
+                if n == most:
+                    yield _block(held, name)
+                    held, n = [], 0
+        if held:
+            yield _block(held, name)
+
+    parts = max(min(count, PARTS), -(-count // PART_BLOCKS))
+    # Dealt out evenly, so that rows with one id do not fill a block.
+    return checkpoint(points.repartition(parts).mapInArrow(pack, f"{name}_ids array<string>, {name}_rows binary"))
+
+
+def _block(held: list[pa.RecordBatch], name: str) -> pa.RecordBatch:
+    ids = pa.array([[i for batch in held for i in batch.column("id").to_pylist()]], pa.list_(pa.string()))
+    rows = np.concatenate([matrix(batch.column("vector")) for batch in held])
+    return pa.RecordBatch.from_arrays([ids, pa.array([rows.astype("<f8").tobytes()])], [f"{name}_ids", f"{name}_rows"])
+
+
+def _sum_of_distances(x: np.ndarray, y: np.ndarray, mine: np.ndarray, other: np.ndarray) -> tuple[float, int]:
+    """Total and number of the distances between the rows of two matrices; rows with the same number of an id are no pair.
+
+    Squared distances are one matrix product, of rows seen from the middle of ``y``. Where the two lengths nearly cancel,
+    and where a square overflows, they come from the differences.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        middle = y.mean(0)
+        u, v = x - middle, y - middle
+        long, wide = (u * u).sum(1), (v * v).sum(1)
+        plain = not np.append(long, wide).max() < 1e300
+    left = np.column_stack([u, long, np.ones(len(u))])
+    right = np.column_stack([-2 * v, np.ones(len(v)), wide]).T
+    met = np.isin(mine, other)
+    total, n = 0.0, 0
+    step = max(1, CHUNK // len(y))
+    for low in range(0, len(x), step):
+        part = slice(low, low + step)
+        if plain:
+            d = distances(x[part], y, "euclidean")
+        else:
+            d = left[part] @ right
+            q, p = np.nonzero(d <= CLOSE * (long[part, None] + wide.max()))
+            close = d[q, p] <= CLOSE * (long[part][q] + wide[p])
+            q, p = q[close], p[close]
+            if len(q):
+                exact = np.zeros(len(q))
+                for i in range(x.shape[1]):
+                    gap = x[part][q, i] - y[p, i]
+                    exact += gap * gap
+                d[q, p] = exact
+            np.sqrt(d, out=d)
+        n += d.size
+        if met[part].any():
+            same = mine[part, None] == other
+            d[same] = 0
+            n -= int(same.sum())
+        total += float(d.sum())
+    return total, n
 
 
 def _block_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each row of the left block: total and number of distances to the rows of the right block with another id."""
+    """For each pair of blocks: total and number of the distances between rows with different ids."""
     for batch in batches:
         for k in range(batch.num_rows):
-            left, right = (batch.column(side).slice(k, 1).flatten() for side in ("a", "b"))
-            ids, other = (side.field("id").to_numpy(zero_copy_only=False) for side in (left, right))
-            d = distances(matrix(left.field("vector")), matrix(right.field("vector")), "euclidean")
-            apart = ids[:, None] != other[None]
-            yield pa.RecordBatch.from_arrays(
-                [left.field("id"), pa.array((d * apart).sum(1)), pa.array(apart.sum(1))], ["id", "total", "n"]
-            )
+            sides = [batch.column(f"{side}_ids").slice(k, 1).flatten() for side in "ab"]
+            x, y = (np.frombuffer(batch.column(f"{side}_rows")[k].as_py(), "<f8").reshape(len(ids), -1) for side, ids in zip("ab", sides, strict=True))
+            names = pa.concat_arrays(sides).dictionary_encode().indices.to_numpy()
+            total, n = _sum_of_distances(x, y, names[: len(x)], names[len(x) :])
+            yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], ["total", "n"])
 
 
 def distances_to(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(id, total, n): each row of ``a`` against all rows of ``b`` with another id.
+    """(total, n) in a few rows, whose sums are those of the distances of all rows of ``a`` to all rows of ``b`` with another id.
 
-    Both sides are (id string, vector). They are cut into blocks, every block of ``a`` is sent to every block of ``b`` by an
-    equi-join on the block number, and a pair of blocks returns one row per row of ``a``: no pairs of rows
-    are ever emitted. The mean of all distances needs every distance, so the work is rows x rows; callers
-    pass samples of a stated size.
+    Both sides are (id string, vector). They are cut into blocks, and every block of ``a`` meets every block of ``b``. Blocks
+    are written once and read by each task that needs them, and a pair of blocks returns one row: neither pairs of rows nor
+    copies of a side are ever written. The total of all distances needs every distance, so the work is rows x rows.
     """
     ship(a.sparkSession)
-    rows_a, rows_b = a.count(), b.count()
-    right = _blocks(b, rows_b, "b")
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-rows_b // BLOCK_ROWS)) - 1).cast("long"))
-    left = _blocks(a, rows_a, "a").withColumn("b_block", F.explode(numbers))
-    pairs = left.join(right, "b_block").repartition("a_block", "b_block")
-    partial = pairs.select("a", "b").mapInArrow(_block_distances, "id string, total double, n long")
-    return partial.groupBy("id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    pairs = _blocks(a, "a").hint("shuffle_replicate_nl").crossJoin(_blocks(b, "b"))
+    return pairs.mapInArrow(_block_distances, "total double, n long")
 
 
 def distinct_vectors(points: DataFrame) -> DataFrame:
@@ -85,22 +143,19 @@ def nearest_others(a: DataFrame, b: DataFrame, index: BallIndex | None = None) -
 
 
 def neighbour_diagnosis(
-    df: DataFrame, label: str, keys: Sequence[str], vector: Column, seed: int = 42,
-    malicious_rows: int | None = None, mean_rows: int = MEAN_ROWS,
+    df: DataFrame, label: str, keys: Sequence[str], vector: Column, seed: int = 42, malicious_rows: int | None = None,
 ) -> DataFrame:
     """(metric, value) of distances between benign (0) rows, malicious (1) rows and across.
 
     Nearest neighbour inside the benign rows: min, max, mean; inside the malicious rows: mean; across: the
-    smallest, and the mean of all. ``malicious_rows`` draws that many malicious rows; by default as many as
-    there are benign ones. Nearest neighbours are exact. The mean across has no form that spares pairs: it is taken over at
-    most ``mean_rows`` rows of each side, picked by the seeded digest of their keys.
+    smallest, and the mean of all. All rows of both sides count; ``malicious_rows`` draws that many malicious rows by the
+    seeded digest of their keys. Nearest neighbours and means are exact. The mean across has no form that spares pairs: its
+    work is rows x rows.
     """
     identity = F.concat_ws("_", *[col(k).cast("string") for k in keys]).alias("id")
     benign = df.where(col(label) == 0)
     malicious = df.where(col(label) == 1)
-    wanted = benign.count() if malicious_rows is None else malicious_rows
-    drawn = pick_rows(malicious, wanted, keys, seed)
-    few = [pick_rows(side, mean_rows, keys, seed).select(identity, vector.alias("vector")) for side in (benign, drawn)]
+    drawn = malicious if malicious_rows is None else pick_rows(malicious, malicious_rows, keys, seed)
     points = [side.select(identity, vector.alias("vector")) for side in (benign, drawn)]
     # How many rows have each vector, for means over rows.
     sizes = [side.groupBy("vector").agg(F.count(F.lit(1)).alias("rows")) for side in points]
@@ -119,7 +174,7 @@ def neighbour_diagnosis(
     )
     other = nearest(two, two, indexes[1], sizes[1]).agg(average.alias("malicious_nearest_mean"))
     across = nearest(one, two, indexes[1], sizes[0]).agg(F.min("nearest").alias("cross_min"))
-    mean = distances_to(*few).agg((F.sum("total") / F.sum("n")).alias("cross_mean"))
+    mean = distances_to(*points).agg((F.sum("total") / F.sum("n")).alias("cross_mean"))
     parts = [part.unpivot([], part.columns, "metric", "value") for part in (inside, other, across, mean)]
     out = parts[0]
     for part in parts[1:]:

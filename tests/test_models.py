@@ -140,6 +140,34 @@ def test_distances_against_numpy(spark, monkeypatch, block):
     assert found["cross_min"] == pytest.approx(across.min()) and found["cross_mean"] == pytest.approx(across.mean())
 
 
+def test_distances_count_all_rows_of_both_sides(spark):
+    rng = np.random.default_rng(6)
+    points, y = rng.normal(size=(4400, 2)) ** 3, np.arange(4400) >= 2050
+    rows = [(i, int(m), *map(float, p)) for i, (p, m) in enumerate(zip(points, y, strict=True))]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    found = metrics(distances.neighbour_diagnosis(df, "y", ["id"], distances.feature_array(["a", "b"])))
+    apart = lambda a, b: np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    across = apart(points[~y], points[y])
+    inside = apart(points[y], points[y]) + np.diag([np.inf] * int(y.sum()))
+    assert found["cross_mean"] == pytest.approx(across.mean(), rel=1e-12) and found["cross_min"] == pytest.approx(across.min())
+    assert found["malicious_nearest_mean"] == pytest.approx(inside.min(axis=1).mean())
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e7, 1e200])
+def test_sum_of_distances_of_close_far_and_equal_rows(monkeypatch, shift):
+    """Products of matrices lose close pairs of long vectors; rows with one id are no pair."""
+    monkeypatch.setattr(distances, "CHUNK", 100)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(20, 5)), rng.normal(size=(20, 5)) * 1e-6 + 3, np.full((3, 5), 3.0)]) + shift
+    y = np.concatenate([x[5:30], rng.normal(size=(9, 5)) * 1e5])
+    mine, other = np.arange(len(x)) % 30, np.arange(len(y)) + 12
+    apart = mine[:, None] != other
+    d = np.sqrt(((x[:, None] / 1e150 - y[None] / 1e150) ** 2).sum(axis=2)) * 1e150 if shift > 1e100 else np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+    total, n = distances._sum_of_distances(x, y, mine, other)
+    assert n == apart.sum() and 0 < n < apart.size
+    assert total == (pytest.approx((d * apart).sum(), rel=1e-9) if shift < 1e100 else np.inf)
+
+
 def test_mean_differences_with_sampled_side(table):
     coded = table.withColumn("b", scalars.encode_label(F.col("Label")))
     rows = evaluate.mean_differences(coded, ["y", "konst"], "b", malicious_rows=100, keys=["id"]).collect()
